@@ -235,11 +235,12 @@ class ByteBPE:
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode and decode what is not remembered yet."""
-        new = list(set(pieces).difference(self.known))
+        asked = set(pieces)
+        new = list(asked.difference(self.known))
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             self.decoded.clear()
-            new = list(set(pieces))
+            new = list(asked)
         for p, ids in zip(new, self.encode_pieces([p.encode() for p in new]), strict=True):
             self.known[p] = " ".join(map(self.decimal.__getitem__, ids))
             self.decoded[p] = self.decode(ids)

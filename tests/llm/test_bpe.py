@@ -53,3 +53,11 @@ def test_frames(spark, other):
     back = {r.doc_id: bytes(r.decoded) for r in bpe.decoded(full, PATH, public_tokenizers.PATTERN).collect()}
     assert all(back[r.doc_id] == bytes(r.decoded) for r in full.collect())
     assert bpe.encoded(df.where("false"), PATH, public_tokenizers.PATTERN, digest=True).count() == 0
+
+
+def test_forgetting_changes_nothing(own, other, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    for s in list(samples())[:60]:
+        for part in own.pieces(s):
+            own.learn(iter(part))
+            assert [int(i) for p in part for i in own.known[p].split()] == other.encode_ordinary("".join(part))
