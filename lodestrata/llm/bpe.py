@@ -225,7 +225,7 @@ class ByteBPE:
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         """The pieces of a text, a chunk at a time."""
-        find = self.within if text.isascii() or max(text) <= "￿" else self.all
+        find = self.within if text.isascii() or max(text) <= "\uffff" else self.all
         if len(text) <= CHUNK:
             yield find.findall(text)
             return
