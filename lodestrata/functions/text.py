@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Line ends as Python's splitlines() knows them.
 LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
@@ -33,7 +34,7 @@ def collapsed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def casefold(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else t.casefold())
 
@@ -43,12 +44,12 @@ def fold_text(t: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", t.casefold()) if not unicodedata.combining(c))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else fold_text(t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
@@ -57,7 +58,7 @@ def tokens_of(t: str) -> list[dict]:
     return [{"token": fold_text(m.group()), "start": m.start(), "end": m.end()} for m in _TOKEN.finditer(t)]
 
 
-@F.pandas_udf("array<struct<token: string, start: int, end: int>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("token", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))
 def tokens(texts: pd.Series) -> pd.Series:
     """Folded words with their spans, in code points, the end exclusive."""
     return texts.map(lambda t: [] if t is None else tokens_of(t))

@@ -47,7 +47,7 @@ def sorted_set(c: Column | str) -> Column:
 
 def code_index(texts: DataFrame, pattern: str, key: str, text: str = "text") -> DataFrame:
     """code and the sorted keys of texts that hold it."""
-    found = texts.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))).alias("code"))
+    found = texts.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?U){pattern}"), F.lit(0)))).alias("code"))
     return found.groupBy("code").agg(sorted_set(key).alias("keys"))
 
 

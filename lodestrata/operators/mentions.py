@@ -22,6 +22,12 @@ def line_tokens(lines: DataFrame, text: str = "text") -> DataFrame:
     return lines.withColumn("tokens", tokens(text))
 
 
+def _grams(n: int):
+    """All sequences of n tokens, with their spans."""
+    gram = lambda i: F.struct(F.transform(F.slice("tokens", i, n), lambda t: t["token"]).alias("words"), F.element_at("tokens", i)["start"].alias("start"), F.element_at("tokens", i + n - 1)["end"].alias("end"))
+    return F.when(F.size("tokens") >= n, F.transform(F.sequence(F.lit(1), F.size("tokens") - n + 1), gram)).otherwise(F.array())
+
+
 def mentions(tokenised: DataFrame, aliases: DataFrame, keys: list[str], most: int = 3000) -> DataFrame:
     """keys, start and end (code points), alias, target and classification of each match in a line.
 
@@ -34,7 +40,7 @@ def mentions(tokenised: DataFrame, aliases: DataFrame, keys: list[str], most: in
     if known > most:
         raise ValueError(f"more than {most} aliases")
     lengths = sorted(r[0] for r in aliases.select(F.size("words")).distinct().collect())
-    grams = F.concat(*[F.when(F.size("tokens") >= n, F.transform(F.sequence(F.lit(1), F.size("tokens") - n + 1), lambda i, n=n: F.struct(F.transform(F.slice("tokens", i, n), lambda t: t["token"]).alias("words"), F.element_at("tokens", i)["start"].alias("start"), F.element_at("tokens", i + n - 1)["end"].alias("end")))).otherwise(F.array()) for n in lengths]) if lengths else F.array()
+    grams = F.concat(*map(_grams, lengths)) if lengths else F.array()
     rows = tokenised.select(*keys, F.explode(grams).alias("g")).select(*keys, "g.words", "g.start", "g.end") if lengths else tokenised.select(*keys, F.array(F.lit("")).alias("words"), F.lit(0).alias("start"), F.lit(0).alias("end")).where("false")
     found = rows.join(F.broadcast(aliases.select("alias", "target", "words")), "words").drop("words")
     return classified(found, keys)
