@@ -46,7 +46,7 @@ def rule(name: str, *needs: str):
 
 def _of(df: DataFrame, subject: Column | str, detail: Column | str = "") -> DataFrame:
     c = lambda x: F.col(x) if isinstance(x, str) and x in df.columns else F.lit(x) if isinstance(x, str) else x
-    return df.select(c(subject).alias("subject"), c(detail).alias("detail"))
+    return df.select(c(subject).cast("string").alias("subject"), c(detail).cast("string").alias("detail"))
 
 
 def _twice(df: DataFrame, *keys: str) -> DataFrame:

@@ -87,7 +87,7 @@ class Located(HTMLParser):
             return
         while self.path:
             top = self.path[-1][0]
-            if top in BLOCKS or top == tag:
+            if top in BLOCKS:
                 self._flush()
             if top in SILENT:
                 self.silent -= 1
