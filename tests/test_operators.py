@@ -194,3 +194,44 @@ def test_require_raises(spark):
     t["relations"] = t["relations"].withColumn("dst", F.lit("NONE-1"))
     with pytest.raises(ValueError, match="V17_relations"):
         rules.require(t, ["V17_relations"])
+
+
+def routed(spark):
+    from lodestrata.operators import routing  # noqa: F401  its rules join the others
+
+    t = valid(spark)
+    t["projects"] = spark.createDataFrame([("home", "team", ["Home"]), ("orion", "team", ["Orion", "Orion Core"]), ("far", "other", ["Orion"])], "id string, domain string, names array<string>")
+    t["disclosures"] = spark.createDataFrame([("home", "orion", "req", "**/*.md")], "from_project string, to_project string, source_id string, path_pattern string")
+    t["home"] = spark.createDataFrame([("home",)], "project_id string")
+    t["mentions"] = spark.createDataFrame([("M1", "E1", 1, None, "orion", ["S1"])], "mention_id string, evidence_id string, line int, end_line int, target string, segment_ids array<string>")
+    t["assessments"] = spark.createDataFrame([("M1", "R1", "referred", "REF1", ["REQ-001"])], "mention_id string, class string, disposition string, referral_id string, homes array<string>")
+    t["referrals"] = spark.createDataFrame([("REF1", "orion", "R1", ["REQ-001"], "E1", "S1", 1, 2, "one\ntwo", "req", "a.md", "a.md")], "referral_id string, target string, class string, homes array<string>, evidence_id string, segment_id string, start int, end int, quote string, source_id string, relative_path string, include_pattern string")
+    t["links"] = spark.createDataFrame([("REQ-001", "orion")], "record_id string, target string")
+    t["selected"] = spark.createDataFrame([("E1", 1, 2)], "evidence_id string, start int, end int")
+    t["releases"] = spark.createDataFrame([("home", "run1", "current")], "project_id string, run_id string, visibility string")
+    t["entries"] = spark.createDataFrame([("home:run1:REQ-001", "home", "run1", "REQ-001", "current")], "key string, project_id string, run_id string, record_id string, visibility string")
+    t["publications"] = spark.createDataFrame([(0, "run1", 1, "2026-01-01", None), (1, "run2", 2, "2026-01-02", None)], "ordinal int, run_id string, sequence int, created_at string, rollback_reason string")
+    t["reviews"] = spark.createDataFrame([("run1", "approve", "Ada", "2026-01-02", "2026-01-01", ["REQ-001", "UNC-001"], {"a": True})], "run_id string, decision string, reviewer string, reviewed_at string, created_at string, approved array<string>, checks map<string,boolean>")
+    t["investigations"] = spark.createDataFrame([], "record_id string, scope array<string>, present boolean")
+    return t
+
+
+ROUTING = [
+    ("projects", {"names": "array('Orion')", "domain": "'team'"}, "V27_registry"), ("disclosures", {"to_project": "'far'"}, "V27_registry"), ("reviews", {"decision": "'reject'"}, "V28_review"), ("reviews", {"approved": "array('REQ-001')"}, "V28_review"), ("publications", {"sequence": "2 - ordinal"}, "V29_publication_order"), ("entries", {"visibility": "'historical'"}, "V30_index"), ("entries", {"key": "'x'"}, "V30_index"),
+    ("assessments", {"mention_id": "'M9'"}, "V35_one_assessment_each"), ("mentions", {"segment_ids": "array()"}, "V37_mentions_have_segments"), ("assessments", {"homes": "array('REQ-9')"}, "V38_homes_exist"), ("assessments", {"class": "'R2'"}, "V39_to_V42_classes"), ("assessments", {"disposition": "'dismissed'"}, "V39_to_V42_classes"), ("disclosures", {"path_pattern": "'b/**'"}, "V43_home_links_are_granted"), ("disclosures", {"path_pattern": "'b/**'"}, "V48_referral_target"),
+    ("referrals", {"class": "'R4'"}, "V44_referrals_agree"), ("referrals", {"start": "2"}, "V45_referral_covers_its_mention"), ("referrals", {"quote": "'x'"}, "V46_referral_quotes"), ("selected", {"end": "1"}, "V47_referral_in_selection"), ("coverage", {"disposition": "'deferred'"}, "V47_referral_was_read"), ("interval_coverage", {"disposition": "'triaged_out'"}, "V47_referral_was_read"), ("referrals", {"include_pattern": "'**'"}, "V48_referral_target"), ("referrals", {"target": "'far'"}, "V48_referral_target"),
+    ("assessments", {"disposition": "'linked_home'"}, "V49_only_referred_have_referrals"), ("assessments", {"class": "'R2'"}, "V50_target_only_is_not_cited"), ("assessments", {"homes": "array('UNC-001')"}, "V51_homes_hold_the_mention"), ("assessments", {"disposition": "'linked_home'"}, "V51_every_referral_is_used"), ("links", {"target": "'far'"}, "V52_links_agree"), ("records", {"kind": "'investigation'"}, "V19_investigations"),
+]
+
+
+def test_a_valid_routing_has_no_violations(spark):
+    t = routed(spark)
+    names = [n for n in rules.RULES if n >= "V27" or n.startswith("V19")]
+    assert rules.violations(t, names).collect() == []
+
+
+@pytest.mark.parametrize("name, change, want", ROUTING)
+def test_routing_mutations_are_found(spark, name, change, want):
+    t = routed(spark)
+    t[name] = t[name].withColumns({k: F.expr(v) for k, v in change.items()})
+    assert want in {r.rule for r in rules.violations(t, [want]).collect()}
