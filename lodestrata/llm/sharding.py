@@ -93,16 +93,16 @@ def plan(rows: DataFrame, n_dims: int, shards: int | None, target: int | None) -
             key = F.try_element_at(F.array(*map(F.col, keys)), F.try_element_at(_array([tree[i].get("dim", 0) + 1 for i in range(size)]), (F.col("node") + 1).cast("int")).cast("int"))
             inside = placed.where(F.col("node").isin(open_nodes)).withColumn("key", key).withColumn("lo", get(lambda i: tree[i]["lo"])).withColumn("hi", get(lambda i: tree[i]["hi"])).withColumn("w", get(lambda i: width[i])).where("key >= lo and key < hi")
             sums: dict[int, list] = {i: [] for i in open_nodes}
-            for r in inside.groupBy("node", F.expr("(key - lo) div w").alias("bin")).agg(F.sum("size").alias("bytes")).collect():
-                sums[r.node].append((r.bin, r.bytes))
+            for r in inside.groupBy("node", F.expr("(key - lo) div w").alias("bin")).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect():
+                sums[r.node].append((r.bin, r.bytes, r.rows))
             still = []
             for i in open_nodes:
                 n = tree[i]
-                for b, w in sorted(sums[i]):
+                for b, w, rows_in in sorted(sums[i]):
                     if n["below"] + w > n["share"]:
                         lo = n["lo"] + b * width[i]
                         n["lo"], n["hi"] = lo, min(n["hi"], lo + width[i])
-                        if n["hi"] - n["lo"] > 1 and w > NEAR * total / leaves:
+                        if n["hi"] - n["lo"] > 1 and rows_in > 1 and w > NEAR * total / leaves:
                             still.append(i)
                         elif n["share"] - n["below"] > w / 2:  # the last bin goes to the nearer side
                             n["below"] += w
