@@ -15,9 +15,6 @@ def _fields(docs):
     return docs.select("doc_id", F.lower(F.split_part("text", F.lit("\n"), F.lit(1))).alias("title"), F.lower("text").alias("body"))
 
 
-WEIGHED = {"title": (F.col, 4), "statement": (F.col, 2)}
-
-
 def _weights():
     return {"title": (F.col("title"), ranking.WEIGHTS["title"]), "statement": (F.col("body"), ranking.WEIGHTS["statement"])}
 
