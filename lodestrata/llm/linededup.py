@@ -61,9 +61,12 @@ def repeated_runs(t: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     w = t.where("m is not null").select("k", "doc_id", "r", "n", "m", "anchor", "anchor_r", "c1", "c2")
     place = F.struct("k", "anchor_r")
     shared = w.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("anchor")
+    # Written, so that both sides of the joins below are plain exchanges, which Spark can split where a key is hot.
+    shared = written(shared, "anchors")
     w = w.join(shared, "anchor")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "r", "m", "n")).alias("first")
     firsts = w.groupBy("c1", "c2").agg(first, F.count("*").alias("times")).where("times > 1").select("c1", "c2", "first")
+    firsts = written(firsts, "firsts")
     later = w.join(firsts, ["c1", "c2"]).where("k <> first.k or r > first.r + first.m - 1")
     matched = later.select("k", "r", (F.col("r") + F.col("m") - 1).alias("e"), "n", F.col("first.k").alias("fk"), (F.col("first.r") - F.col("r")).alias("d"), F.col("first.n").alias("fn"))
     same = Window.partitionBy("k", "fk", "d").orderBy("r")
