@@ -65,3 +65,14 @@ def numbered(df: DataFrame, groups: list[str], order: list[str], into: str = "sl
         same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
     joined = t.join(starts, same)
     return joined.select(*df.columns, (F.col(row) - F.col(first) + F.col("__before")).alias(into))
+
+
+def hashed_share(h: Column, rows: int, total: int) -> Column:
+    """Whether a uniform 64-bit hash lies in a share of its range that holds about `rows` of `total` rows, and a little more.
+
+    A fit's bounded sample takes the rows of least hash; this keeps all others
+    from being sent to where the least are found.
+    """
+    if total <= 2 * rows:
+        return F.lit(True)
+    return h < F.lit(-(1 << 63) + int((1 << 64) * min(1.0, (1.1 * rows + 100) / total)))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import arrow_schema, in_batches, table
+from lodestrata.llm.common import arrow_schema, hashed_share, in_batches, table
 from lodestrata.session import written
 
 #: Labelled documents that a fit takes at most.
@@ -167,7 +167,8 @@ def sample(stats: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> list[dict
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     joined = stats.where(~base_failed()).join(known, "doc_id")
     once = joined.groupBy("k").agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "quality", *COUNTS)).alias("x")).select("k", "x.*")
-    taken = once.orderBy("h", "k").limit(rows)
+    once = written(once, "labelled")
+    taken = once.where(hashed_share(F.col("h"), rows, once.count())).orderBy("h", "k").limit(rows)
     got = taken.select((F.col("quality") == 0).cast("int").alias("bad"), *[F.coalesce(rate(), F.lit(0.0)).alias(f) for f, rate in RATES.items()]).collect()
     return [r.asDict() for r in got]
 
