@@ -20,6 +20,7 @@ import gc
 import hashlib
 import heapq
 import itertools
+import math
 import re
 from collections.abc import Iterable, Iterator
 
@@ -268,13 +269,14 @@ DIGEST, DIGEST_ARROW = arrow_schema(doc_id="long", n_tokens="long", ids_sha256="
 
 
 def _grouped(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of neighbouring texts of about CHUNK * 4 characters in all."""
+    """Ranges of neighbouring texts of about CHUNK * 4 characters in all; a text beyond CHUNK, which may have several slices of pieces, is alone."""
     start = size = 0
     for i, t in enumerate(texts):
-        if i > start and size + len(t or "") > 4 * CHUNK:
+        n = len(t or "") if len(t or "") <= CHUNK else math.inf
+        if i > start and size + n > 4 * CHUNK:
             yield start, i
             start, size = i, 0
-        size += len(t or "")
+        size += n
     if texts:
         yield start, len(texts)
 

@@ -61,3 +61,17 @@ def test_forgetting_changes_nothing(own, other, monkeypatch):
         for part in own.pieces(s):
             own.learn(iter(part))
             assert [int(i) for p in part for i in own.known[p].split()] == other.encode_ordinary("".join(part))
+
+
+def test_long_texts_of_short_pieces_between_neighbours(spark, other):
+    r = random.Random(13)
+    hexes, numbers = "".join(r.choice("0123456789abcdef") for _ in range(300_000)), ",".join(str(r.randrange(10)) for _ in range(75_000))
+    texts = ["short", hexes, "", "short too", numbers, None, "a " * 40_000, "end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    digest = {r.doc_id: r for r in bpe.encoded(df, PATH, public_tokenizers.PATTERN, digest=True).collect()}
+    full = {r.doc_id: r for r in bpe.encoded(df, PATH, public_tokenizers.PATTERN).collect()}
+    for i, t in enumerate(texts):
+        ids = other.encode_ordinary(t or "")
+        assert digest[i].n_tokens == len(ids) and digest[i].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert digest[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
+        assert full[i].ids == ids and bytes(full[i].decoded) == (t or "").encode()
