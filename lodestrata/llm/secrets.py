@@ -3,8 +3,9 @@ r"""Secret scans through nested encodings.
 A worklist starts from the text. Each layer is scanned for secrets, and for
 parts that decode: percent escapes, \u and \x and &#n; escapes, base64 (both
 alphabets) and, inside base64, zlib, gzip and raw text. What a part decodes to
-becomes a new layer, with a little of what stands around it so that a name
-before an encoded value still counts. Layers are known by their digest, so a
+becomes a new layer, with a little of what stands around it, and any padding
+between, so that a name before an encoded value still counts; a secret that
+reaches the end of its layer goes on in what the layer was cut from. Layers are known by their digest, so a
 cycle ends; the work is done when no layer is left. Each character of a layer
 knows the span of the text it came from, and so do the secrets found there.
 
@@ -33,7 +34,7 @@ from lodestrata.llm.common import arrow_schema, in_batches, table
 KINDS = ("assign", "access", "hex")
 #: Bytes that a compressed part may unpack to.
 LARGEST = 16_000_000
-#: Characters around a decoded part that its layer has too.
+#: Characters around a decoded part, beyond the padding of an assignment, that its layer has too.
 AROUND = 48
 
 _ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -47,6 +48,11 @@ _UNICODE = re.compile(rf"(?<![{_PLAIN}])(?:[{_PLAIN}]*+(?:\\u[0-9A-Fa-f]{{4}}|\\
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _ESCAPE = re.compile(r"%([0-9A-Fa-f]{2})")
 _CHARACTER = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#x([0-9A-Fa-f]{1,6});")
+# What may stand between the part and the rest of an assignment, in both directions.
+_AFTER = re.compile(r"[A-Za-z_]{0,8}[\"']?\x20*[:=]?\x20*[\"']?")
+_BEFORE = re.compile(r"[\"']?\x20*[:=]?\x20*[\"']?")
+#: How a secret of each kind goes on.
+_ONWARD = tuple(map(re.compile, (r"[A-Za-z0-9+/_.=-]*", r"[A-Z0-9]*", r"[0-9a-f]*")))
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -133,47 +139,101 @@ def _unpacked(part: str) -> tuple[str | None, str]:
     return _readable(raw), "base64"
 
 
+class _Layer:
+    """A text, the span in the scanned text of each of its characters (None: itself), the layers and places where it goes on to the left and right, and the window in which its parts are decoded, which lies within its parent's."""
+
+    def __init__(self, text: str, origin: list[tuple[int, int]] | None = None, left: tuple[_Layer | None, int] = (None, 0), right: tuple[_Layer | None, int] = (None, 0), window: tuple[int, int] | None = None):
+        self.text, self.origin, self.left, self.right = text, origin, left, right
+        self.window = window or (0, len(text))
+        self.runs: dict[int, tuple[int, int]] = {}
+
+    def span(self, a: int, b: int) -> tuple[int, int]:
+        return (a, b) if self.origin is None else (self.origin[a][0], self.origin[b - 1][1])
+
+    def beside(self, at: int, size: int, back: bool) -> tuple[str, list[tuple[int, int]], tuple[_Layer, int]]:
+        """Up to `size` characters before or after a place, with their spans, and the layer and place where they end."""
+        text, spans, layer = "", [], self
+        while True:
+            a, b = (max(0, at - size + len(text)), at) if back else (at, min(len(layer.text), at + size - len(text)))
+            part, own = layer.text[a:b], [layer.span(i, i + 1) for i in range(a, b)]
+            text, spans, at = (part + text, own + spans, a) if back else (text + part, spans + own, b)
+            on, place = layer.left if back else layer.right
+            if len(text) == size or on is None:
+                return text, spans, (layer, at)
+            layer, at = on, place
+
+    def around(self, at: int, back: bool) -> tuple[str, list[tuple[int, int]], tuple[_Layer, int]]:
+        """What the layer of a part that starts or ends here has beside it."""
+        size = AROUND
+        while True:
+            found = self.beside(at, size, back)
+            pad = (_BEFORE.match(found[0][::-1]) if back else _AFTER.match(found[0])).end()
+            need = AROUND if pad + 8 <= AROUND else pad + AROUND
+            if need <= size or len(found[0]) < size:
+                return found if len(found[0]) <= need else self.beside(at, need, back)
+            size *= 2
+
+    def onward(self, at: int, kind: int, end: int) -> int:
+        """Where in the scanned text a secret ends that goes on from here; `end` if it does not."""
+        layer: _Layer | None = self
+        while layer:
+            a, b = layer.runs.get(kind, (0, -1))
+            if not a <= at <= b:
+                a, b = layer.runs[kind] = at, _ONWARD[kind].match(layer.text, at).end()
+            if b > at:
+                end = max(end, layer.span(b - 1, b)[1])
+            if b < len(layer.text):
+                break
+            layer, at = layer.right
+        return end
+
+
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, str, int]]]:
     """The base spans, and further spans (start, kind, end) from decoded layers."""
     base = scan(text)
     more: set[tuple[int, str, int]] = set()
     seen = {hashlib.sha256(text.encode()).digest()}
-    layers: deque[tuple[str, list[tuple[int, int]] | None]] = deque([(text, None)])
+    layers = deque([_Layer(text)])
     while layers:
-        layer, origin = layers.popleft()
-        parts = []
-        if "%" in layer:
-            parts += [("url", m, _unescaped) for m in _URL.finditer(layer)]
-        if "\\" in layer or "&#" in layer:
-            parts += [("unicode", m, _characters) for m in _UNICODE.finditer(layer)]
-        parts += [("base64", m, None) for m in _BASE64.finditer(layer)]
+        layer = layers.popleft()
+        lo, hi = layer.window
+        view, parts = layer.text[lo:hi], []
+        if "%" in view:
+            parts += [("url", m, _unescaped) for m in _URL.finditer(view)]
+        if "\\" in view or "&#" in view:
+            parts += [("unicode", m, _characters) for m in _UNICODE.finditer(view)]
+        parts += [("base64", m, None) for m in _BASE64.finditer(view)]
         for kind, m, decode in parts:
+            start, stop = lo + m.start(), lo + m.end()
             if decode:
-                if not (got := decode(m.group(), m.start())):
+                if not (got := decode(m.group(), start)):
                     continue
                 inner, where = got
             else:
                 inner, kind = _unpacked(m.group())
                 if kind == "bomb":
-                    a, b = (m.start(), m.end()) if origin is None else (origin[m.start()][0], origin[m.end() - 1][1])
+                    a, b = layer.span(start, stop)
                     more.add((a, "bomb", b))
                 if not inner:
                     continue
-                where = [(m.start(), m.end())] * len(inner)
-            left, right = max(0, m.start() - AROUND), min(len(layer), m.end() + AROUND)
-            new = layer[left : m.start()] + inner + layer[m.end() : right]
+                where = [(start, stop)] * len(inner)
+            left, left_spans, on_left = layer.around(start, True)
+            right, right_spans, on_right = layer.around(stop, False)
+            new = left + inner + right
             digest = hashlib.sha256(new.encode()).digest()
             if digest in seen:
                 continue
             seen.add(digest)
-            spans = [(i, i + 1) for i in range(left, m.start())] + where + [(i, i + 1) for i in range(m.end(), right)]
-            if origin is not None:
-                spans = [(origin[a][0], origin[b - 1][1]) for a, b in spans]
-            lo, hi = m.start() - left, m.start() - left + len(inner)
+            spans = left_spans + [layer.span(a, b) for a, b in where] + right_spans
+            first, last = len(left), len(left) + len(inner)
             for s, k, e in scan(new):
-                if s < hi and e > lo:
-                    more.add((spans[s][0], f"{KINDS[k]}+{kind}", max(x[1] for x in spans[s:e])))
-            layers.append((new, spans))
+                if s < last and e > first:
+                    end = max(x[1] for x in spans[s:e])
+                    if e == len(new):
+                        end = on_right[0].onward(on_right[1], k, end)
+                    more.add((spans[s][0], f"{KINDS[k]}+{kind}", end))
+            window = max(0, first - (start - lo)), min(len(new), last + hi - stop)
+            layers.append(_Layer(new, spans, on_left, on_right, window))
     return base, sorted(more)
 
 

@@ -65,3 +65,15 @@ def test_frames(spark):
     out = secrets.redacted(df)
     assert out.columns == df.columns and [r.text for r in out.collect()][:4] == ["a [ACCESS] b", None, "", "[ASSIGN]"]
     assert secrets.secrets(df.where("false")).count() == 0
+
+
+def test_secrets_that_go_on_beyond_their_layer():
+    value = "aB3" * 33 + "x"
+    far = " " * 300
+    for text in (f'tok\\u0065n: "{value}"', f'tok\\u0065n{far}: "{value}"', f'\\u0074ok%65n:{far}"{value}"', f'\\u0074ok%65n{far}:{far}"{value}"'):
+        assert secrets.masked(f"see {text} here").startswith("see [ASSIGN]") and value[-9:] not in secrets.masked(f"see {text} here"), text
+    packed = b64("hunter2hunter2 and so on")
+    text = f"password{far}={far}{packed}"
+    assert (0, "assign+base64", len(text)) in secrets.find(text)[1]
+    text = f"%41KIA{'AB12' * 40} end"
+    assert secrets.masked(text) == "[ACCESS] end"
