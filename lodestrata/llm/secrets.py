@@ -2,7 +2,8 @@ r"""Secret scans through nested encodings.
 
 A worklist starts from the text. Each layer is scanned for secrets, and for
 parts that decode: percent escapes, \u and \x and &#n; escapes, base64 (both
-alphabets) and, inside base64, zlib, gzip and raw text. What a part decodes to
+alphabets, also wrapped in lines) and, inside base64, raw text, or zlib and gzip
+to any depth. What a part decodes to
 becomes a new layer, with a little of what stands around it, and any padding
 between, so that a name before an encoded value still counts; a secret that
 reaches the end of its layer goes on in what the layer was cut from. Layers are known by their digest, so a
@@ -46,6 +47,9 @@ _PLAIN = r"A-Za-z0-9._~/:=?+@\"'-"
 _URL = re.compile(rf"(?<![{_PLAIN}])(?:[{_PLAIN}]*+%[0-9A-Fa-f]{{2}})+[{_PLAIN}]*+")
 _UNICODE = re.compile(rf"(?<![{_PLAIN}])(?:[{_PLAIN}]*+(?:\\u[0-9A-Fa-f]{{4}}|\\x[0-9A-Fa-f]{{2}}|&#[0-9]{{1,7}};|&#x[0-9A-Fa-f]{{1,6}};))+[{_PLAIN}]*+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Lines of base64, of which the first may begin within a line and the last may be short.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]++\x20*\r?\n[\x20\t]*)?[A-Za-z0-9+/_-]{16,}+(?:\x20*\r?\n[\x20\t]*[A-Za-z0-9+/_-]{16,}+)*+(?:\x20*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)?={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _ESCAPE = re.compile(r"%([0-9A-Fa-f]{2})")
 _CHARACTER = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#x([0-9A-Fa-f]{1,6});")
 # What may stand between the part and the rest of an assignment, in both directions.
@@ -125,18 +129,42 @@ def _unpacked(part: str) -> tuple[str | None, str]:
         raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except binascii.Error:
         return None, ""
-    if raw[:2] in (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"\x1f\x8b"):
+    seen, kind = set(), "base64"
+    while raw[:2] in (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"\x1f\x8b"):
+        digest = hashlib.sha256(raw).digest()
+        if digest in seen:
+            return None, ""
+        seen.add(digest)
         try:
             unpack = zlib.decompressobj(47)
             got = unpack.decompress(raw, LARGEST)
-            if unpack.unconsumed_tail:
-                return None, "bomb"
-            if not unpack.eof:
-                return None, ""
-            return _readable(got), "packed"
         except zlib.error:
-            return None, ""
-    return _readable(raw), "base64"
+            break  # text may begin like a header
+        if unpack.unconsumed_tail:
+            return None, "bomb"
+        if not unpack.eof:
+            break
+        raw, kind = got, "packed"
+    return _readable(raw), kind
+
+
+def _unwrapped(part: str) -> tuple[int, int, str | None, str] | None:
+    """Where base64 wrapped in lines starts and ends in a part, its text and how it was packed.
+
+    A word before or after may look like one more line. Plain text is taken
+    from as many lines as can be read, and what is packed from no more lines
+    than it needs.
+    """
+    lines = [(m.start(), m.end()) for m in _LINE.finditer(part)]
+    best = None
+    for first, last in ((0, 0), (0, 1), (1, 0), (1, 1)):
+        rows = lines[first : len(lines) - last]
+        if len(rows) < 2:
+            continue
+        text, kind = _unpacked("".join(part[a:b] for a, b in rows))
+        if (text or kind == "bomb") and (best is None or kind != "base64"):
+            best = rows[0][0], rows[-1][1], text, kind
+    return best
 
 
 class _Layer:
@@ -203,6 +231,8 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, str, in
         if "\\" in view or "&#" in view:
             parts += [("unicode", m, _characters) for m in _UNICODE.finditer(view)]
         parts += [("base64", m, None) for m in _BASE64.finditer(view)]
+        if "\n" in view:
+            parts += [("wrapped", m, None) for m in _WRAPPED.finditer(view) if "\n" in m.group()]
         for kind, m, decode in parts:
             start, stop = lo + m.start(), lo + m.end()
             if decode:
@@ -210,7 +240,12 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, str, in
                     continue
                 inner, where = got
             else:
-                inner, kind = _unpacked(m.group())
+                if kind == "base64":
+                    inner, kind = _unpacked(m.group())
+                elif got := _unwrapped(m.group()):
+                    start, stop, inner, kind = lo + m.start() + got[0], lo + m.start() + got[1], *got[2:]
+                else:
+                    continue
                 if kind == "bomb":
                     a, b = layer.span(start, stop)
                     more.add((a, "bomb", b))

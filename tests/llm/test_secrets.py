@@ -1,4 +1,5 @@
 import base64
+import gzip
 import random
 import re
 import urllib.parse
@@ -77,3 +78,20 @@ def test_secrets_that_go_on_beyond_their_layer():
     assert (0, "assign+base64", len(text)) in secrets.find(text)[1]
     text = f"%41KIA{'AB12' * 40} end"
     assert secrets.masked(text) == "[ACCESS] end"
+
+
+def test_compressed_layers_nest_and_base64_may_be_wrapped():
+    r = random.Random(3)
+    inner = f"key {KEY} end"
+    for packed in (zlib.compress(zlib.compress(inner.encode())), gzip.compress(gzip.compress(gzip.compress(inner.encode()))), zlib.compress(b64(gzip.compress(inner.encode())).encode())):
+        assert KEY not in secrets.masked(f"x {b64(packed)} y") and spans_of(f"x {b64(packed)} y") == {"access+packed": b64(packed)}
+    for n in (40, 57, 90):
+        long = " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n)) + f" {KEY} " + "z" * n
+        for raw, kind in ((long.encode(), "base64"), (zlib.compress(long.encode()), "packed"), (gzip.compress(zlib.compress(long.encode())), "packed")):
+            for width, end in ((64, "\n"), (76, "\r\n")):
+                body = b64(raw)
+                wrapped = end.join(body[i : i + width] for i in range(0, len(body), width))
+                for before, after in (("see: ", " ok"), ("-----BEGIN CERTIFICATE-----\n", "\n-----END CERTIFICATE-----"), ("a word\n", "\n\nand more")):
+                    found = secrets.find(before + wrapped + after)[1]
+                    assert any(k == f"access+{kind}" and s >= len(before) and e <= len(before + wrapped) + 1 + 10 and s < e for s, k, e in found), (n, kind, width, before)
+    assert not secrets.find("ordinary words\nBundesverfassungsgericht\nund andere\nwords")[1]
