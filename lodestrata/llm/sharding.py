@@ -68,7 +68,7 @@ def plan(rows: DataFrame, n_dims: int, shards: int | None, target: int | None) -
     """The tree: nodes with `dim` and `cut` (keys below go left), or leaves with `shard`. Children come after their parents."""
     keys = [f"k{i}" for i in range(n_dims)]
     total = rows.agg(F.sum("size")).first()[0] or 0
-    leaves = shards or max(1, min(NODES, -(-total // max(1, target))))
+    leaves = shards or max(1, -(-total // max(1, target)))
     if leaves > NODES:
         raise ValueError(f"at most {NODES} leaves")
     tree: list[dict] = [{"leaves": leaves, "bytes": total}]

@@ -49,3 +49,12 @@ def test_write_keeps_rows_and_columns(spark, tmp_path):
     sharding.write_shards(df.drop("shard"), str(tmp_path / "out"), shards=4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == len(rows) and set(back.columns) == set(df.columns)
+
+
+def test_more_leaves_than_nodes_are_refused_by_target_too(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "NODES", 3)
+    df = spark.createDataFrame([(i, "x" * 99, 99, "s", "en") for i in range(10)], "doc_id long, text string, n_chars long, source string, lang string")
+    for asked in ({"shards": 4}, {"target": 250}):
+        with pytest.raises(ValueError, match="at most 3 leaves"):
+            sharding.sharded(df, **asked)
+    assert sharding.sharded(df, target=500).count() == 10
