@@ -16,7 +16,6 @@ of pieces, so that only the text itself must fit in memory.
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 import heapq
 import itertools
@@ -28,15 +27,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm.common import arrow_schema, in_batches, table
+from lodestrata.llm.common import arrow_schema, in_batches, resident, table
+from lodestrata.llm.merges import Merges
 
 #: Pieces of more bytes than this are encoded by a heap.
 LONGEST = 256
-#: Encoded pieces that a worker remembers; beyond it starts anew.
-REMEMBERED = 300_000
+#: Encoded pieces that a worker remembers, and their bytes; beyond either it starts anew.
+REMEMBERED, REMEMBERED_BYTES = 200_000, 16 << 20
 #: Pieces of a text handled at a time.
 CHUNK = 100_000
-NONE = np.int32(2**31 - 1)
 
 
 def vocabulary(path: str) -> list[bytes]:
@@ -87,96 +86,12 @@ class ByteBPE:
         self.ranks = {t: i for i, t in enumerate(self.tokens)}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.within, self.all = splitter(pattern)
-        self._pairs()
+        pairs = [(a, b, rank) for rank, token in enumerate(self.tokens) for i in range(1, len(token)) if (a := self.ranks.get(token[:i])) is not None and (b := self.ranks.get(token[i:])) is not None]
+        self.merges = Merges(*map(list, zip(*pairs, strict=True))) if pairs else Merges([], [], [])
         self.decimal = list(map(str, range(len(self.tokens))))
         self.known: dict[str, str] = {}
         self.decoded: dict[str, bytes] = {}
-
-    def _pairs(self) -> None:
-        """An open-addressing table from (left << 20 | right) to the rank of the pair's merge."""
-        keys, values = [], []
-        for rank, token in enumerate(self.tokens):
-            for i in range(1, len(token)):
-                a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
-                if a is not None and b is not None:
-                    keys.append(a << 20 | b)
-                    values.append(rank)
-        self.bits = max(4, int(np.ceil(np.log2(4 * max(1, len(keys))))))
-        self.slots = np.full(1 << self.bits, -1, np.int64)
-        self.values = np.full(1 << self.bits, NONE, np.int32)
-        left, right = np.array(keys, np.int64), np.array(values, np.int32)
-        at, self.probes = self._hash(left), 1
-        while len(left):
-            free = self.slots[at] < 0
-            first = np.unique(at[free], return_index=True)[1]
-            put = np.flatnonzero(free)[first]
-            self.slots[at[put]], self.values[at[put]] = left[put], right[put]
-            rest = np.ones(len(left), bool)
-            rest[put] = False
-            left, right, at = left[rest], right[rest], (at[rest] + 1) & ((1 << self.bits) - 1)
-            self.probes += bool(len(left))
-
-    def _hash(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Ranks of pairs of token ids, NONE where a pair does not merge; ids below 0 are padding."""
-        if left.size == 0:
-            return np.empty(left.shape, np.int32)
-        keys = left.astype(np.int64) << 20 | right.astype(np.int64)
-        out = np.full(keys.shape, NONE, np.int32)
-        todo = np.flatnonzero((left >= 0) & (right >= 0))
-        flat, k = out.reshape(-1), keys.reshape(-1)[todo]
-        at = self._hash(k)
-        for _ in range(self.probes):
-            there = self.slots[at]
-            hit = there == k
-            flat[todo[hit]] = self.values[at[hit]]
-            on = ~hit & (there >= 0)
-            if not on.any():
-                break
-            todo, k, at = todo[on], k[on], (at[on] + 1) & ((1 << self.bits) - 1)
-        return out
-
-    def _matrix(self, pieces: list[bytes], width: int) -> list[list[int]]:
-        """Ids of pieces of at most width bytes; the matrix has a column for each piece and a row for each place in it."""
-        lengths = np.fromiter(map(len, pieces), np.int32, len(pieces))
-        raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(len(pieces), width).T
-        ids = np.where(np.arange(width)[:, None] < lengths, self.byte_ids[raw], np.int32(-1))
-        # A pair's key is its rank, then its place: the least key is the leftmost pair of minimum rank.
-        key = self.rank_of(ids[:-1], ids[1:])
-        key = np.where(key == NONE, NONE, (key << 9) + np.arange(width - 1, dtype=np.int32)[:, None])
-        rows, done = np.arange(len(pieces)), [[]] * len(pieces)
-        while True:
-            least = key.min(axis=0)
-            over = least == NONE
-            if over.any():
-                for r, n, x in zip(rows[over].tolist(), lengths[over].tolist(), ids[:, over].T.tolist(), strict=True):
-                    done[r] = x[:n]
-                go = np.flatnonzero(~over)
-                if not len(go):
-                    return done
-                lengths = lengths[go]
-                used = int(lengths.max())  # places that no piece needs any more go
-                rows, ids, key, least = rows[go], ids[:used, go], key[: used - 1, go], least[go]
-            at, rank, w = least & 511, least >> 9, len(ids)
-            every = np.arange(len(rows))
-            for c in range(w - 1):
-                if c:
-                    np.copyto(ids[c], ids[c + 1], where=at < c)
-                if c < w - 2:
-                    np.copyto(key[c], np.where(key[c + 1] == NONE, NONE, key[c + 1] - 1), where=at <= c)
-            ids[w - 1] = -1
-            key[w - 2] = NONE
-            ids[at, every] = rank
-            lengths = lengths - 1
-            to = np.minimum(at + 1, w - 1)
-            right = self.rank_of(ids[at, every], np.where(at + 1 < w, ids[to, every], -1))
-            put = np.flatnonzero(at < w - 1)
-            key[at[put], put] = np.where(right == NONE, NONE, (right << 9) + at)[put]
-            put = np.flatnonzero(at > 0)
-            left = self.rank_of(ids[at[put] - 1, put], ids[at[put], put])
-            key[at[put] - 1, put] = np.where(left == NONE, NONE, (left << 9) + at[put] - 1)
+        self.held = 0
 
     def _heap(self, piece: bytes) -> list[int]:
         ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
@@ -208,20 +123,17 @@ class ByteBPE:
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each piece."""
         out: list[list[int]] = [[] for _ in pieces]
-        buckets: dict[int, list[int]] = {}
         for i, p in enumerate(pieces):
             if (whole := self.ranks.get(p)) is not None:
                 out[i] = [whole]
             elif len(p) > LONGEST:
                 out[i] = self._heap(p)
-            elif p:
-                n = len(p)
-                buckets.setdefault(n if n <= 12 else 1 << (n - 1).bit_length(), []).append(i)
-        for width, rows in buckets.items():
-            for k in range(0, len(rows), max(1, (1 << 19) // width)):
-                part = rows[k : k + max(1, (1 << 19) // width)]
-                for i, ids in zip(part, self._matrix([pieces[i] for i in part], width), strict=True):
-                    out[i] = ids
+        short = [i for i, p in enumerate(pieces) if p and not out[i]]
+        flat, sizes = self.merges.merged([pieces[i] for i in short], self.byte_ids)
+        ids, at = flat.tolist(), 0
+        for i, n in zip(short, sizes.tolist(), strict=True):
+            out[i] = ids[at : at + n]
+            at += n
         return out
 
     def pieces(self, text: str) -> Iterator[list[str]]:
@@ -238,13 +150,14 @@ class ByteBPE:
         """Encode and decode what is not remembered yet."""
         asked = set(pieces)
         new = list(asked.difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
+        if len(self.known) + len(new) > REMEMBERED or self.held > REMEMBERED_BYTES:
             self.known.clear()
             self.decoded.clear()
-            new = list(asked)
+            self.held, new = 0, list(asked)
         for p, ids in zip(new, self.encode_pieces([p.encode() for p in new]), strict=True):
             self.known[p] = " ".join(map(self.decimal.__getitem__, ids))
             self.decoded[p] = self.decode(ids)
+            self.held += 2 * len(p) + len(self.known[p])
 
     def encode(self, text: str) -> list[int]:
         return [i for part in self.pieces(text) for ids in self.encode_pieces([p.encode() for p in part]) for i in ids]
@@ -253,15 +166,9 @@ class ByteBPE:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_MODELS: dict[tuple[str, str], ByteBPE] = {}
-
-
 def model(path: str, pattern: str) -> ByteBPE:
     """One model a worker process."""
-    if (path, pattern) not in _MODELS:
-        _MODELS[path, pattern] = ByteBPE(path, pattern)
-        gc.freeze()  # the tables are large and stay
-    return _MODELS[path, pattern]
+    return resident(("bpe", path, pattern), lambda: ByteBPE(path, pattern))
 
 
 ENCODED, ENCODED_ARROW = arrow_schema(doc_id="long", n_tokens="long", ids="array<int>", decoded="binary")

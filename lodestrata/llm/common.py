@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,8 +13,8 @@ from pyspark.sql import functions as F
 
 from lodestrata.session import workers_import, written
 
-#: Rows in an Arrow batch: bounds what a Python worker holds also when all texts are very long.
-BATCH_ROWS = 512
+#: Rows and bytes in an Arrow batch: bound what a Python worker holds also when all texts are long.
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 #: The white space of the word definition, as a regular expression.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,20 +29,53 @@ def text_column(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def in_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]], schema: str) -> DataFrame:
-    """mapInArrow with small batches. make() runs once in a task and returns what each batch goes through."""
-    spark = df.sparkSession
+def small_batches(spark: SparkSession) -> None:
+    """From now on Python workers of this session find the package and get batches of bounded rows and bytes."""
     workers_import(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def in_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]], schema, ends: bool = False) -> DataFrame:
+    """mapInArrow with small batches. make() runs once in a task and returns what each batch goes through, and None at the partition's end if it `ends`."""
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
-        for batch in batches:
-            yield from step(batch)
+        try:
+            step = make()
+            for batch in batches:
+                yield from step(batch)
+            if ends:
+                yield from step(None)
+        finally:
+            step = None
+            released()
 
     return df.mapInArrow(run, schema)
 
 
+def released() -> None:
+    """Give freed memory back to the system: workers are used again by later stages, with the same executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every system has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+_RESIDENT: dict = {}
+
+
+def resident(key: tuple, build: Callable):
+    """What build() makes, kept by the worker process for later tasks that ask for the same; one thing at a time."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        gc.unfreeze()
+        gc.collect()
+        released()
+        _RESIDENT[key] = build()
+        gc.freeze()  # large tables that stay
+    return _RESIDENT[key]
+
+
 def arrow_schema(**kinds: str) -> tuple[str, pa.Schema]:
     """The same columns for Spark and for Arrow."""
     known = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
@@ -76,3 +112,35 @@ def hashed_share(h: Column, rows: int, total: int) -> Column:
     if total <= 2 * rows:
         return F.lit(True)
     return h < F.lit(-(1 << 63) + int((1 << 64) * min(1.0, (1.1 * rows + 100) / total)))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like those given that no column of df has, whatever its case."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
+#: Bits of the set that `likely` broadcasts, as a power of two: 2 MB, whatever the data's size.
+LIKELY_BITS = 24
+
+
+def likely(df: DataFrame, key: Column, keys: DataFrame, into: str) -> DataFrame:
+    """df with a boolean `into`: false only where the hash `key` is surely not among the hashes in the one column of keys.
+
+    A set of a fixed number of bits goes to all tasks; the fuller it gets, the
+    more rows are called likely, so that what follows must not rely on it.
+    """
+    bit = lambda c: F.pmod(c, F.lit(1 << LIKELY_BITS))
+    word, mask = fresh(df, "__word", "__mask")
+    b = bit(F.col(keys.columns[0]))
+    words = keys.select(F.shiftright(b, 6).alias(word), F.call_function("shiftleft", F.lit(1).cast("long"), b.bitwiseAND(F.lit(63)).cast("int")).alias(mask)).groupBy(word).agg(F.bit_or(mask).alias(mask))
+    at = fresh(df, "__at")[0]
+    out = df.withColumn(at, bit(key))
+    joined = out.join(F.broadcast(words), F.shiftright(F.col(at), 6) == F.col(word), "left")  # at most 2^(LIKELY_BITS - 6) rows
+    there = F.call_function("shiftright", F.coalesce(F.col(mask), F.lit(0).cast("long")), F.col(at).bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(there, F.lit(False)).alias(into))

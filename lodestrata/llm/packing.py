@@ -19,90 +19,159 @@ ignored by `packed` and `sequences`.
 from __future__ import annotations
 
 import bisect
+import json
 import os
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import arrow_schema, in_batches, numbered, table
+from lodestrata.llm.common import SPACE, arrow_schema, in_batches, numbered, resident, table
+from lodestrata.llm.merges import LONGEST, Merges
 from lodestrata.session import written
 
 CAPACITY = 2048
-#: Words that a worker remembers the ids of; beyond it starts anew.
-REMEMBERED = 400_000
-#: Marks that often end a word; the tokenizer's pattern takes a run of them for itself.
-MARKS = b".,*$%&#"
-#: Characters of a text tokenised at a time.
-CHUNK = 1_000_000
+#: Characters of text tokenised at a time; longer texts are cut at white space.
+BLOCK = 12_000_000
+#: Tokenizer pieces that a task remembers the ids of, and their characters; beyond either it starts anew.
+REMEMBERED, REMEMBERED_CHARS = 400_000, 8_000_000
+#: Words whose ids are put in place at a time.
+PLACED = 500_000
+
+#: Characters whose class, small letter and normal form the two libraries agree on: ASCII, the letters of Latin-1, and signs that are neither letters, digits nor white space and have no other normal form.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_OTHER = re.compile(f"[^\\x21-\\x7e\\n{_LETTERS}\u00a1-\u00a7\u00ab\u00ac\u00ae\u00b0\u00b1\u00b6\u00b7\u00bb\u00bf\u00d7\u00f7\u2010-\u2027\u20ac]|<\\|")
+_PIECES = re.compile(f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9\n]+")
+#: What the fast way stands for: a file that says otherwise has all its words encoded by the library.
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def _byte_letters() -> list[str]:
+    """The printable character that byte-level vocabularies write for each byte: itself, or else the next one from U+0100."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(0x100, 0x200))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
 
 
 class Words:
-    """Ids of texts by a tokenizers file whose tokens never span white space: each distinct word is encoded once."""
+    """Ids of words by a tokenizers file whose tokens never span white space.
+
+    The library takes longer over a word than its merges do. Where the file's
+    normalizer, pre-tokenizer and model are of the known kind, words of common
+    characters are cut by the same pattern, and each distinct piece goes
+    through the merges in numpy once; all other words go to the library.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
-        # Words of small ASCII letters are single pieces to the tokenizer's pattern: the model alone, which is twice as
-        # fast, gives their ids. A tokenizer for which that does not hold for these words goes without.
-        probe = ["a", "the", "wordpiece", "internationalization", "zqxjk"]
-        self.plain = all(self.tokenizer.encode(w, add_special_tokens=False).ids == [x.id for x in self.tokenizer.model.tokenize(w)] for w in probe)
-
-    def learn(self, words: set[bytes]) -> None:
-        """Remember the ids of words, by their parts: a word without its last marks, in small letters if it is of ASCII letters and digits, and the marks."""
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(words)
-        halves = []
-        for w in new:
-            t = w.rstrip(MARKS)
-            if len(t) == len(w) or not t[-1:].isalnum():  # after a letter or digit, marks are a token run of their own
-                t = w
-            halves.append((t.lower() if t.isalnum() else t, w[len(t) :]))  # bytes: of ASCII letters and digits alone
-        asked = {x for h in halves for x in h}
-        need = asked.difference(self.parts)
-        if len(self.parts) + len(need) > REMEMBERED:
-            self.parts.clear()
-            need = asked
-        self._encode(list(need))
-        self.known.update(zip(new, (self.parts[a] + self.parts[b] for a, b in halves), strict=True))
-
-    def _encode(self, parts: list[bytes]) -> None:
-        letters = [p for p in parts if p.isalpha() and p.islower()] if self.plain else []
-        tokenize = self.tokenizer.model.tokenize
-        for w in letters:
-            self.parts[w] = array("I", [x.id for x in tokenize(w.decode())]).tobytes()
-        others = parts if not letters else [p for p in parts if not (p.isalpha() and p.islower())]
-        for k in range(0, len(others), 20_000):
-            some = others[k : k + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                self.parts[w] = array("I", e.ids).tobytes()
-
-    def chunks(self, text: str) -> Iterator[list[bytes]]:
-        """Words between ASCII white space, a chunk at a time."""
-        start = 0
-        while len(text) - start > CHUNK:
-            cut = min((at for c in " \n\t\r" if (at := text.find(c, start + CHUNK)) >= 0), default=len(text))
-            yield text[start:cut].encode().split()
-            start = cut
-        yield text[start:].encode().split()
-
-
-_MODELS: dict[str, Words] = {}
+        said = json.loads(self.tokenizer.to_str())
+        model, cut = said["model"], said["pre_tokenizer"] or {}
+        vocab, letters = model.get("vocab", {}), _byte_letters()
+        first, last = ([vocab.get(c + end, -1) for c in letters] for end in ("", model.get("end_of_word_suffix") or ""))
+        steps = cut.get("pretokenizers", [])
+        self.fast = (
+            (said["normalizer"] or {}).get("normalizers") == _NORMAL
+            and [x["type"] for x in steps] == ["Split", "ByteLevel"]
+            and (steps[0]["pattern"], steps[0]["behavior"], steps[0]["invert"]) == ({"Regex": _PATTERN}, "Removed", True)
+            and not steps[1]["add_prefix_space"]
+            and not steps[1]["use_regex"]
+            and (model["type"], model["dropout"], model["continuing_subword_prefix"], model["ignore_merges"]) == ("BPE", None, None, False)
+            and min(first + last) >= 0
+            and all(x["content"].startswith("<|") for x in said["added_tokens"])
+        )
+        if self.fast:
+            pairs = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
+            self.first, self.last = np.array(first, np.int32), np.array(last, np.int32)
+            self.merges = Merges([vocab[a] for a, _ in pairs], [vocab[b] for _, b in pairs], list(range(len(pairs))), np.array([vocab[a + b] for a, b in pairs], np.int32))
+
+    def ids(self, words: list[str], known: Known) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words without white space, one after another, and how many each has."""
+        hard = [i for i, w in enumerate(words) if w and (not self.fast or len(w) > LONGEST // 4 or _OTHER.search(w))] if not self.fast or _OTHER.search("\n".join(words)) or max(map(len, words), default=0) > LONGEST // 4 else []
+        odd = set(hard)
+        plain = words if not odd else [w for i, w in enumerate(words) if i not in odd]
+        flat, sizes = self._plain(plain, known) if plain else (np.empty(0, np.int32), np.empty(0, np.int64))
+        if not hard:
+            return flat, sizes
+        every = np.zeros(len(words), np.int64)
+        is_hard = np.zeros(len(words), bool)
+        is_hard[hard] = True
+        every[~is_hard] = sizes
+        got = []
+        for k in range(0, len(hard), 10_000):
+            for i, e in zip(hard[k : k + 10_000], self.tokenizer.encode_batch_fast([words[i] for i in hard[k : k + 10_000]], add_special_tokens=False), strict=True):
+                every[i] = len(e.ids)
+                got.append(np.array(e.ids, np.int32))
+        out = np.empty(int(every.sum()), np.int32)
+        of_hard = np.repeat(is_hard, every)
+        out[~of_hard] = flat
+        out[of_hard] = np.concatenate(got)
+        return out, every
+
+    def _plain(self, words: list[str], known: Known) -> tuple[np.ndarray, np.ndarray]:
+        pieces = _PIECES.findall("\n".join([*words, ""]).lower())
+        known.learn(pieces, self)
+        at = np.fromiter(map(known.places.__getitem__, pieces), np.int64, len(pieces))
+        ends = np.flatnonzero(at == 0)  # the line end's place
+        sizes = known.sizes[at]
+        until = np.cumsum(sizes)[ends]
+        flat = [gathered(known.flat, known.starts[at[k : k + PLACED]], sizes[k : k + PLACED]) for k in range(0, len(at), PLACED)]
+        return np.concatenate(flat), np.diff(until, prepend=0)
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """flat[start : start + size] for each start and size, one after another."""
+    to = np.cumsum(sizes, dtype=np.int32)
+    total = int(to[-1]) if len(to) else 0
+    return flat[np.repeat((starts - (to - sizes)).astype(np.int32), sizes) + np.arange(total, dtype=np.int32)]
+
+
+class Known:
+    """The ids of pieces, in one array."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[str, int] = {"\n": 0}
+        self.chars = 0
+        self.flat, self.starts, self.sizes = np.empty(0, np.int32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def learn(self, pieces: list[str], words: Words) -> None:
+        new = list(set(pieces).difference(self.places))
+        if len(self.places) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self.clear()
+            new = list(set(pieces).difference(self.places))
+        if new:
+            flat, sizes = words.merges.merged([p.encode() for p in new], words.first, words.last)
+            self.chars += sum(map(len, new))
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
+            self.starts = np.concatenate([self.starts, np.cumsum(sizes) - sizes + len(self.flat)])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.flat = np.concatenate([self.flat, flat])
 
 
 def words(path: str) -> Words:
-    if path not in _MODELS:
-        _MODELS[path] = Words(path)
-    return _MODELS[path]
+    return resident(("words", path), lambda: Words(path))
+
+
+def slices(text: str) -> Iterator[str]:
+    """A text, cut at ASCII white space to about BLOCK characters."""
+    start = 0
+    while len(text) - start > BLOCK:
+        space = re.compile(SPACE).search(text, start + BLOCK)
+        cut = space.start() if space else len(text)
+        yield text[start:cut]
+        start = cut
+    yield text[start:]
 
 
 PIECES, PIECES_ARROW = arrow_schema(doc_id="long", piece="int", start="long", length="long", ids_crc32="long", ids="binary")
@@ -112,35 +181,53 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
     """doc_id, piece, start, length, ids_crc32 and, if asked for, ids (little-endian unsigned 32-bit) for each piece of each row."""
 
     def make():
-        model, end = words(path), end_id.to_bytes(4, "little")
-
-        def cut(doc, ids: bytes, rows: list) -> None:
-            for i in range(0, len(ids), 4 * capacity):
-                part = ids[i : i + 4 * capacity]
+        model, known, end = words(path), Known(), np.array([end_id], "<u4")
+        held: list[tuple] = []  # doc_id, slice, whether it is its text's last
+        begun: list[np.ndarray] = []  # ids of the slices so far of a text that is not done
+
+        def cut(doc, ids: np.ndarray, rows: list) -> None:
+            raw = ids.astype("<u4", copy=False).tobytes()
+            for i in range(0, len(raw), 4 * capacity):
+                part = raw[i : i + 4 * capacity]
                 rows.append((doc, i // (4 * capacity), i // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
 
-        def step(batch: pa.RecordBatch):
-            docs, texts = (c.to_pylist() for c in batch.columns)
+        def flush():
             rows: list[tuple] = []
-            short = [(d, (t or "").encode().split()) for d, t in zip(docs, texts, strict=True) if len(t or "") <= CHUNK]
-            for k in range(0, len(short), 64):
-                part = short[k : k + 64]
-                model.learn(set().union(*(w for _, w in part)))
-                for d, w in part:
-                    cut(d, b"".join(map(model.known.__getitem__, w)) + end, rows)
-            for d, t in zip(docs, texts, strict=True):
-                if len(t or "") > CHUNK:
-                    ids = bytearray()
-                    for w in model.chunks(t):
-                        model.learn(set(w))
-                        ids += b"".join(map(model.known.__getitem__, w))
-                    cut(d, bytes(ids) + end, rows)
+            lists = pc.ascii_split_whitespace(pa.array([t for _, t, _ in held], pa.string()))
+            counts = np.diff(lists.offsets.to_numpy())
+            each = lists.flatten().dictionary_encode()
+            flat, sizes = model.ids(each.dictionary.to_pylist(), known)
+            code, starts, sizes = each.indices.to_numpy(), (np.cumsum(sizes) - sizes).astype(np.int32), sizes.astype(np.int32)
+            n = sizes[code]
+            ids = np.concatenate([np.empty(0, np.int32), *(gathered(flat, starts[code[k : k + PLACED]], n[k : k + PLACED]) for k in range(0, len(code), PLACED))])
+            until = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])[np.concatenate([[0], np.cumsum(counts)])]
+            for (doc, _, last), a, b in zip(held, until[:-1].tolist(), until[1:].tolist(), strict=True):
+                begun.append(ids[a:b])
+                if last:
+                    cut(doc, np.concatenate([*begun, end]), rows)
+                    begun.clear()
+            held.clear()
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), PIECES_ARROW.types, strict=True)], schema=PIECES_ARROW)
 
+        def step(batch: pa.RecordBatch | None):
+            if batch is None:
+                if held:
+                    yield from flush()
+                return
+            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                some = list(slices(text or ""))
+                for i, t in enumerate(some):
+                    held.append((doc, t, i == len(some) - 1))
+                    state["size"] += len(t) + 64
+                    if state["size"] > BLOCK:
+                        state["size"] = 0
+                        yield from flush()
+
+        state = {"size": 0}
         return step
 
-    out = in_batches(docs.select("doc_id", "text"), make, PIECES)
+    out = in_batches(docs.select("doc_id", "text"), make, PIECES, ends=True)
     return out if with_ids else out.drop("ids")
 
 
