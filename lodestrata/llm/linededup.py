@@ -1,125 +1,155 @@
 r"""Line deduplication by winnowing, with DataFrame functions only.
 
 A text's lines with words stand in order. From each line a window runs on
-until it holds `min_words` words, so it has at most that many lines, and the
-window's fingerprint is its least line hash: equal runs of min_words words or
-more have a window in common, and with it the fingerprint, for certain.
-Fingerprints that stand in one place only rule out their windows. The windows
-left are joined by what they hold with the first window that holds the same,
-in order of doc_id and line. Windows with the same partner and distance make
-up runs, which are extended both ways, line by line, as long as they equal the
-partner's lines; an extension beyond min_words words would hold a window of
-its own, so a fixed number of lines is compared. The lines of later runs are
-deleted; every line deleted has an equal line in an earlier place, so that one
-copy of each line stays.
-
-Groups by hash may be hot (a passage that a third of all documents share):
-first windows come from a pre-aggregated minimum, and rows meet them in plain
-equi-joins, which Spark splits where a key is skewed. No pairs within a group
-are made. Lines are compared by 96 bits of hash.
+until it holds `min_words` words, and selects its least line hash: the lines so
+selected are the text's fingerprints, and equal runs of min_words words or more
+have a window in common, and with it a fingerprint, for certain. Fingerprints
+that stand in one place only are out, and with them the windows that select
+them. The places of the others are joined by what their windows hold with the
+first place that holds the same, in order of doc_id and line. Matches with the
+same partner and distance make up runs, which are extended both ways, line by
+line, as long as they equal the partner's lines, by min_words - 1 lines at
+most. The lines of later runs are deleted; every line deleted has an equal line
+in an earlier place, so that one copy of each line stays.
+
+Each text is hashed where it is read, and its lines are laid out in blocks of
+min_words - 1, which extensions look up. Places by hash may be hot (a passage
+that a third of all documents share): first places come from a pre-aggregated
+minimum, and rows meet them in plain equi-joins, which Spark splits where a key
+is skewed. No pairs within a group are made. Only texts that may lose lines are
+shuffled. Lines are compared by 96 bits of hash.
 
 Cases: null texts have no lines and stay null; lines without words count for
 nothing and go only where they stand between deleted lines; rows that repeat
 doc_id and text are one document and share its result; a null doc_id comes
 after all others; a text whose lines all go becomes empty, its row stays; an
-empty table gives no rows; further columns are carried by `deduplicated`.
+empty table gives no rows; further columns, whatever their names, are carried
+by `deduplicated`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import WORD, table, text_column
+from lodestrata.llm.common import WORD, fresh, likely, table, text_column
 from lodestrata.session import written
 
 #: Words that a repeated run must hold.
 MIN_WORDS = 50
 
 
-def _key():
+def _key() -> Column:
     return F.xxhash64(F.col("doc_id"), text_column())
 
 
-def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each line with words: k (document), doc_id, r (its number), n (of how many), pos, h and g (hashes); and of the window from it: m (lines), anchor and its place, c1 and c2 (hashes), null where the text ends first."""
-    line = F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")
-    rows = docs.where("text is not null").select(_key().alias("k"), "doc_id", line).select("k", "doc_id", "pos", F.xxhash64("line").alias("h"), F.hash("line").alias("g"), F.regexp_count("line", F.lit(WORD)).alias("w")).where("w > 0")
-    rows = rows.repartition("k").dropDuplicates(["k", "pos"])
+def blocks(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The lines with words of each document in blocks: k (document), doc_id, n (its lines), b and `lines`.
+
+    A line has r (its number from 1), pos, h and g (hashes), and of the window
+    from it m (lines), at and anchor (the fingerprint's place and hash), c1 and
+    c2 (hashes), null where the text ends first.
+    """
+    # Each word becomes one letter, so that a line's length is its words.
+    marks = F.translate(F.regexp_replace("text", WORD, "w"), " \t\x0b\x0c\r", "")
+    both = F.arrays_zip(F.split("text", "\n", -1).alias("line"), F.split(marks, "\n", -1).alias("mark"))
+    each = F.transform(both, lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x["line"]).alias("h"), F.hash(x["line"]).alias("g"), F.length(x["mark"]).alias("w")))
+    whole = docs.where("text is not null").select(_key().alias("k"), "doc_id", F.filter(each, lambda x: x["w"] > 0).alias("lines"))
+    whole = whole.groupBy("k").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("lines").alias("lines"))
+    n, total = F.size("lines"), F.aggregate("lines", F.lit(0), lambda a, x: a + x["w"])
+    rows = whole.select("k", "doc_id", n.alias("n"), total.alias("total"), F.explode("lines").alias("x")).select("k", "doc_id", "n", "total", "x.*")
     order = Window.partitionBy("k").orderBy("pos")
-    ahead = F.collect_list(F.struct("w", "h", "g")).over(order.rowsBetween(0, min_words - 1))
-    rows = rows.select("k", "doc_id", "pos", "h", "g", F.row_number().over(order).alias("r"), F.count("*").over(Window.partitionBy("k")).cast("int").alias("n"), ahead.alias("ahead"))
-    grown = F.aggregate("ahead", F.struct(F.lit(0).alias("s"), F.lit(0).alias("m")), lambda a, x: F.when(a["s"] >= min_words, a).otherwise(F.struct((a["s"] + x["w"]).alias("s"), (a["m"] + 1).alias("m"))))
-    rows = rows.withColumn("grown", grown).withColumn("m", F.when(F.col("grown.s") >= min_words, F.col("grown.m")))
-    rows = rows.withColumn("held", F.slice("ahead", 1, F.coalesce("m", F.lit(0)))).withColumn("hs", F.col("held.h")).withColumn("anchor", F.array_min("hs"))
-    of_window = lambda c: F.when(F.col("m").isNotNull(), c)
-    return rows.select("k", "doc_id", "r", "n", "pos", "h", "g", "m", "anchor", (F.col("r") + F.array_position("hs", F.col("anchor")) - 1).alias("anchor_r"), of_window(F.xxhash64("hs")).alias("c1"), of_window(F.hash("held.g")).alias("c2"))
+    rows = rows.select("*", F.row_number().over(order).alias("r"), (F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")).alias("before"))
+    ahead = Window.partitionBy("k").orderBy("before").rangeBetween(0, min_words - 1)
+    rows = rows.withColumn("held", F.collect_list(F.struct("h", "g")).over(ahead)).withColumn("hs", F.col("held.h"))
+    full = lambda c: F.when(F.col("total") - F.col("before") >= min_words, c)
+    least = F.array_min("hs")
+    line = F.struct("r", "pos", "h", "g", full(F.size("held")).alias("m"), full(F.col("r") + F.array_position("hs", least).cast("int") - 1).alias("at"), full(least).alias("anchor"), full(F.xxhash64("hs")).alias("c1"), full(F.hash("held.g")).alias("c2"))
+    return rows.groupBy("k", "doc_id", "n", F.expr(f"(r - 1) div {max(1, min_words - 1)}").alias("b")).agg(F.array_sort(F.collect_list(line)).alias("lines"))  # of min_words - 1 lines
+
+
+def matches(t: DataFrame) -> DataFrame:
+    """k, r, e (first and last line of a window), n, fk and d (the document with the first place that holds the same, and how far off), fn."""
+    w = t.select("k", "doc_id", "n", F.explode("lines").alias("x")).where("x.m is not null").select("k", "doc_id", "n", "x.r", "x.m", "x.at", "x.anchor", "x.c1", "x.c2")
+    place = F.xxhash64("k", "at")
+    shared = w.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("anchor")
+    # Written, here and below, so that both sides of joins are plain exchanges, which Spark can split where a key is hot.
+    shared = written(shared, "anchors")
+    w = likely(w, F.col("anchor"), shared, "may").where("may").join(shared.hint("merge"), "anchor")
+    w = written(w.select("k", "doc_id", "n", "r", "m", "c1", "c2"), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "r", "m", "n")).alias("first")
+    firsts = w.groupBy("c1", "c2").agg(first, F.count("*").alias("times")).where("times > 1").select("c1", "c2", "first.k", "first.r", "first.m", "first.n")
+    firsts = written(firsts.toDF("c1", "c2", "fk", "fr", "fm", "fn"), "firsts")
+    later = w.join(firsts.hint("merge"), ["c1", "c2"]).where("k <> fk or r > fr + fm - 1")
+    return later.select("k", "r", (F.col("r") + F.col("m") - 1).alias("e"), "n", "fk", (F.col("fr") - F.col("r")).alias("d"), "fn")
 
 
 def repeated_runs(t: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """k, start and end (numbers of lines) of the later runs, extended both ways."""
-    w = t.where("m is not null").select("k", "doc_id", "r", "n", "m", "anchor", "anchor_r", "c1", "c2")
-    place = F.struct("k", "anchor_r")
-    shared = w.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("anchor")
-    # Written, so that both sides of the joins below are plain exchanges, which Spark can split where a key is hot.
-    shared = written(shared, "anchors")
-    w = w.join(shared, "anchor")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "r", "m", "n")).alias("first")
-    firsts = w.groupBy("c1", "c2").agg(first, F.count("*").alias("times")).where("times > 1").select("c1", "c2", "first")
-    firsts = written(firsts, "firsts")
-    later = w.join(firsts, ["c1", "c2"]).where("k <> first.k or r > first.r + first.m - 1")
-    matched = later.select("k", "r", (F.col("r") + F.col("m") - 1).alias("e"), "n", F.col("first.k").alias("fk"), (F.col("first.r") - F.col("r")).alias("d"), F.col("first.n").alias("fn"))
     same = Window.partitionBy("k", "fk", "d").orderBy("r")
     before = F.max("e").over(same.rowsBetween(Window.unboundedPreceding, -1))
-    parts = matched.withColumn("new", F.coalesce((F.col("r") > before + 1).cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(same))
-    runs = parts.groupBy("k", "fk", "d", "run").agg(F.min("r").alias("r"), F.max("e").alias("e"), F.max("n").alias("n"), F.max("fn").alias("fn"))
+    parts = matches(t).withColumn("new", F.coalesce((F.col("r") > before + 1).cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(same))
+    runs = parts.groupBy("k", "fk", "d", "run").agg(F.min("r").alias("r"), F.max("e").alias("e"), F.max("n").alias("n"), F.max("fn").alias("fn")).drop("run")
     runs = written(runs, "runs")
-    most = min_words - 1
-    right = F.least(F.lit(most), F.col("n") - F.col("e"), F.col("fn") - F.col("e") - F.col("d"))
-    left = F.least(F.lit(most), F.col("r") - 1, F.col("r") + F.col("d") - 1)
-    steps = F.concat(F.when(right > 0, F.sequence(F.lit(1), right)).otherwise(F.array()), F.when(left > 0, F.sequence(F.lit(-1), -left)).otherwise(F.array()))
-    beyond = runs.select("k", "fk", "d", "run", "r", "e", F.explode(steps).alias("s")).withColumn("at", F.when(F.col("s") > 0, F.col("e")).otherwise(F.col("r")) + F.col("s"))
-    beyond = beyond.select("k", "fk", "d", "run", "s", "at", (F.col("at") + F.col("d")).alias("fat"))
-    own = t.select(F.col("k").alias("k1"), F.col("r").alias("r1"), F.col("h").alias("h1"), F.col("g").alias("g1"))
-    its = t.select(F.col("k").alias("k2"), F.col("r").alias("r2"), F.col("h").alias("h2"), F.col("g").alias("g2"))
-    pairs = beyond.join(own, (F.col("k") == F.col("k1")) & (F.col("at") == F.col("r1"))).join(its, (F.col("fk") == F.col("k2")) & (F.col("fat") == F.col("r2")))
-    differs = (F.col("h1") != F.col("h2")) | (F.col("g1") != F.col("g2"))
-    far = lambda up: F.coalesce(F.min(F.when(differs & (F.col("s") > 0 if up else F.col("s") < 0), F.abs("s"))) - 1, F.max(F.when(F.col("s") > 0 if up else F.col("s") < 0, F.abs("s"))), F.lit(0))
-    grown = pairs.groupBy("k", "fk", "d", "run").agg(far(True).alias("up"), far(False).alias("down"))
-    return runs.join(grown, ["k", "fk", "d", "run"], "left").select("k", (F.col("r") - F.coalesce("down", F.lit(0))).alias("start"), (F.col("e") + F.coalesce("up", F.lit(0))).alias("end"))
+    most, r, e, d = max(1, min_words - 1), F.col("r"), F.col("e"), F.col("d")
+    up, down = (e + 1, F.least(e + most, F.col("n"), F.col("fn") - d)), (F.greatest(r - most, F.lit(1), 1 - d), r - 1)
+    look = lambda own, side, doc, ab, by: F.struct(F.lit(own).alias("own"), F.lit(side).alias("side"), F.col(doc).alias("doc"), (ab[0] + by).alias("a"), (ab[1] + by).alias("z"), by.cast("int").alias("by"))
+    looks = F.array(*[look(own, side, doc, ab, by) for own, doc, by in ((True, "k", F.lit(0)), (False, "fk", d)) for side, ab in ((1, up), (-1, down))])
+    wanted = runs.select("k", "fk", "d", "r", "e", F.explode(looks).alias("x")).where("x.a <= x.z").select("k", "fk", "d", "r", "e", "x.*")
+    wanted = wanted.withColumn("b", F.explode(F.sequence(F.expr(f"(a - 1) div {most}"), F.expr(f"(z - 1) div {most}"))))
+    own = t.select(F.col("k").alias("bk"), F.col("b").alias("bb"), F.col("lines.r").alias("rs"), F.col("lines.h").alias("hs"), F.col("lines.g").alias("gs"))
+    met = wanted.join(own.hint("merge"), (F.col("doc") == F.col("bk")) & (F.col("b") == F.col("bb")))
+    # The places' distances from the run, with their hashes.
+    away = F.transform(F.arrays_zip("rs", "hs", "gs"), lambda x: F.struct(F.abs(x["rs"] - F.col("by") - F.when(F.col("side") > 0, e).otherwise(r)).alias("s"), x["hs"].alias("h"), x["gs"].alias("g"), x["rs"].alias("at")))
+    met = met.select("k", "fk", "d", "r", "e", "own", "side", F.transform(F.filter(away, lambda x: x["at"].between(F.col("a"), F.col("z"))), lambda x: F.struct(x["s"].alias("s"), x["h"].alias("h"), x["g"].alias("g"))).alias("part"))
+    of = lambda own, side: F.array_sort(F.flatten(F.collect_list(F.when((F.col("own") == own) & (F.col("side") == side), F.col("part")))))  # noqa: E731  at most `most` lines
+    sides = met.groupBy("k", "fk", "d", "r", "e").agg(of(True, 1).alias("u"), of(False, 1).alias("fu"), of(True, -1).alias("v"), of(False, -1).alias("fv"))
+    equal = lambda x, y: F.array_position(F.concat(F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False))), F.array(F.lit(False))), F.lit(False)).cast("int") - 1
+    grown = sides.select("k", (r - equal("v", "fv")).alias("start"), (e + equal("u", "fu")).alias("end"))
+    return grown.unionByName(runs.where((up[0] > up[1]) & (down[0] > down[1])).select("k", r.alias("start"), e.alias("end")))
 
 
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """For each document that loses lines: k and `gone`, its ranges (a, b) of line positions from 0, ascending."""
-    t = written(windows(docs, min_words), "lines")
-    runs = repeated_runs(t, min_words).distinct()
-    lines = t.select("k", "r", "pos").join(runs, "k").where("r between start and end").select("k", "r", "pos").distinct()
-    order = Window.partitionBy("k").orderBy("r")
-    ranges = lines.withColumn("part", F.col("r") - F.row_number().over(order)).groupBy("k", "part").agg(F.min("pos").alias("a"), F.max("pos").alias("b"))
-    return ranges.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("gone"))  # of one document
+    t = written(blocks(docs, min_words), "lines")
+    runs = repeated_runs(t, min_words).groupBy("k").agg(F.collect_set(F.struct("start", "end")).alias("runs"))  # of one document
+    lines = t.select("k", F.transform("lines", lambda x: F.struct(x["r"].alias("r"), x["pos"].alias("pos"))).alias("lines")).join(runs.hint("merge"), "k")
+    hit = F.filter("lines", lambda x: F.exists("runs", lambda i: x["r"].between(i["start"], i["end"])))
+    gone = lines.select("k", hit.alias("hit")).groupBy("k").agg(F.array_sort(F.flatten(F.collect_list("hit"))).alias("hit"))  # of one document
+    first = F.filter("hit", lambda x, i: (i == 0) | (F.get("hit", i - 1)["r"] < x["r"] - 1))
+    last = F.filter("hit", lambda x, i: (i == F.size("hit") - 1) | (F.get("hit", i + 1)["r"] > x["r"] + 1))
+    return gone.select("k", F.zip_with(first, last, lambda x, y: F.struct(x["pos"].alias("a"), y["pos"].alias("b"))).alias("gone"))
 
 
-def _with_gone(docs: DataFrame, min_words: int) -> DataFrame:
-    gone = deletions(docs, min_words).select(F.col("k").alias("__k"), F.col("gone").alias("__gone"))
-    return docs.withColumn("__key", _key()).join(gone, F.col("__key") == F.col("__k"), "left")
+def _with_gone(docs: DataFrame, min_words: int) -> tuple[DataFrame, str]:
+    """docs with the ranges that go in a new column, and its name: only texts that may lose lines meet the deletions."""
+    key, k, gone, may = fresh(docs, "__key", "__k", "__gone", "__may")
+    lost = deletions(docs, min_words).select(F.col("k").alias(k), F.col("gone").alias(gone))
+    lost = written(lost, "deletions")
+    marked = likely(docs.withColumn(key, _key()), F.col(key), lost.select(k), may)
+    met = marked.where(F.col(may)).join(lost.hint("merge"), F.col(key) == F.col(k), "left").select(*docs.columns, gone)
+    rest = marked.where(~F.col(may)).select(*docs.columns, F.lit(None).cast(lost.schema[gone].dataType).alias(gone))
+    return met.unionByName(rest), gone
 
 
-def _kept_text():
-    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.exists(F.col("__gone"), lambda g: i.between(g["a"], g["b"])))
-    return F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+def _kept_text(gone: str) -> Column:
+    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.exists(F.col(gone), lambda g: i.between(g["a"], g["b"])))
+    return F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
 
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with later repeated runs of lines deleted from column text."""
-    return _with_gone(docs, min_words).withColumn("text", _kept_text()).select(*docs.columns)
+    found, gone = _with_gone(docs, min_words)
+    return found.withColumn("text", _kept_text(gone)).select(*docs.columns)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    n = F.coalesce(F.aggregate("__gone", F.lit(0), lambda a, g: a + g["b"] - g["a"] + 1), F.lit(0)).cast("long")
-    ranges = F.coalesce(F.array_join(F.transform("__gone", lambda g: F.concat_ws("-", g["a"].cast("string"), g["b"].cast("string"))), ","), F.lit(""))
+    found, gone = _with_gone(docs, MIN_WORDS)
+    n = F.coalesce(F.aggregate(gone, F.lit(0), lambda a, g: a + g["b"] - g["a"] + 1), F.lit(0)).cast("long")
+    ranges = F.coalesce(F.array_join(F.transform(gone, lambda g: F.concat_ws("-", g["a"].cast("string"), g["b"].cast("string"))), ","), F.lit(""))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long")
-    return _with_gone(docs, MIN_WORDS).select("doc_id", n_lines.alias("n_lines"), n.alias("n_deleted"), ranges.alias("deleted"), _kept_text().alias("text"))
+    return found.select("doc_id", n_lines.alias("n_lines"), n.alias("n_deleted"), ranges.alias("deleted"), _kept_text(gone).alias("text"))
 
 
 OP7_SQL = """
