@@ -95,3 +95,57 @@ def test_compressed_layers_nest_and_base64_may_be_wrapped():
                     found = secrets.find(before + wrapped + after)[1]
                     assert any(k == f"access+{kind}" and s >= len(before) and e <= len(before + wrapped) + 1 + 10 and s < e for s, k, e in found), (n, kind, width, before)
     assert not secrets.find("ordinary words\nBundesverfassungsgericht\nund andere\nwords")[1]
+
+
+def test_work_grows_with_the_text():
+    import time
+
+    r = random.Random(9)
+    began = time.time()
+    secrets.find(" ".join(f"%{r.randrange(0x21, 0x7F):02x}" for _ in range(5000)))
+    secrets.find(" ".join(f"\\u{r.randrange(0x21, 0x24F):04x} {b64('words ' * 4 + str(i))}" for i in range(2000)))
+    secrets.find("%" + "25" * 100_000 + "41")
+    assert time.time() - began < 20
+
+
+def test_decoders_keep_what_they_cannot_read():
+    for text in ("x=%FF/%70assword=hunter2abc", "\\ud83d\\ude00/\\u0070\\u0061ssword=hunter2abc", "\\ud83d %70assword=hunter2abc", "caf%C3%A9%E2 %70assword=hunter2abc", "\\u{70}assword=hunter2abc", "\\U00000070assword=hunter2abc"):
+        assert any(text[s:e].endswith("ssword=hunter2abc") for s, k, e in secrets.find(text)[1]), text
+    inner = b64(f"see {KEY} for it")
+    for text in (f"cfg/{inner}", f"key-{inner}", f"a/b-c_d/{inner}", f"{inner}/last", f"cfg/{inner}-x"):
+        assert any(k == "access+base64" for _, k, _ in secrets.find(text)[1]), text
+    cut = b64(gzip.compress(f"{KEY} ".encode() + random.Random(1).randbytes(3000))[:2000])
+    assert any(k == "access+packed" for _, k, _ in secrets.find(f"x {cut} y")[1])
+    import bz2
+    import lzma
+
+    import zstandard
+
+    for pack in (bz2.compress, lzma.compress, zstandard.compress):
+        assert spans_of(f"x {b64(pack(f'key {KEY} end'.encode()))} y") and KEY not in secrets.masked(f"x {b64(pack(f'key {KEY} end'.encode()))} y")
+
+
+def test_random_nestings_equal_decoding_by_hand():
+    """A secret under random layers is found, and its span is exactly the text between the words around it."""
+    r = random.Random(11)
+    layers = {
+        "url": lambda t: urllib.parse.quote(t, safe="") if r.random() < 0.5 else "".join(f"%{ord(c):02X}" for c in t),
+        "unicode": lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+        "html": lambda t: "".join(f"&#{ord(c)};" for c in t),
+        "base64": b64,
+        "packed": lambda t: b64(zlib.compress(t.encode())),
+    }
+    for _ in range(150):
+        text, last = f"the key {KEY} is it", None
+        for _ in range(r.randrange(1, 5)):
+            last = r.choice(list(layers))
+            if last == "url" and "%" not in text and " " not in text and "=" not in text and "\\" not in text and "&" not in text:
+                last = "base64"  # nothing to quote
+            text = layers[last](text)
+            if len(text) > 20_000:
+                break
+        whole = f"some words {text} and more"
+        assert KEY not in whole or whole.count(KEY) == 0 or last == "url"
+        found = secrets.find(whole)[1] + [(s, "", e) for s, k, e in secrets.find(whole)[0] if k == 1]
+        assert any(11 <= s < e <= 11 + len(text) for s, k, e in found if k in ("", "access+url", "access+unicode", "access+base64", "access+packed")), whole[:200]
+        assert KEY not in secrets.masked(whole)
