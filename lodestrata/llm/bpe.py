@@ -33,7 +33,7 @@ from lodestrata.llm.merges import Merges
 #: Pieces of more bytes than this are encoded by a heap.
 LONGEST = 256
 #: Encoded pieces that a worker remembers, and their bytes; beyond either it starts anew.
-REMEMBERED, REMEMBERED_BYTES = 200_000, 16 << 20
+REMEMBERED, REMEMBERED_BYTES = 600_000, 48 << 20
 #: Pieces of a text handled at a time.
 CHUNK = 100_000
 
