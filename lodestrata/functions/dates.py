@@ -30,15 +30,17 @@ def partial(text: Column) -> Column:
 
 
 def in_name(name: Column) -> Column:
-    """struct(value, precision) of the date in a file name: a minute with its zone, an ISO day, a day with underscores, in this order; what is no date falls through."""
+    """struct(value, precision, basis) of the date in a path's file name: a minute with its zone, an ISO day, a day with underscores, in this order; what is no date falls through."""
+    name = F.substring_index(name, "/", -1)
+    # The shapes of dates in names, and what each is called.
     m = r"(?<!\d)(\d{4})_(\d{2})_(\d{2}) (\d{2})_(\d{2}) GMT([+-]\d{2})_(\d{2})(?!\d)"
     part = lambda i: F.regexp_extract(name, m, i)
     minute = F.when(part(1) != "", F.concat(part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit("T"), part(4), F.lit(":"), part(5), F.lit(":00"), part(6), F.lit(":"), part(7)))
     iso = F.nullif(F.regexp_extract(name, r"(?<!\d)(\d{4}-\d{2}-\d{2})(?!\d)", 1), F.lit(""))
     low = F.nullif(F.replace(F.regexp_extract(name, r"(?<!\d)(\d{4}_\d{2}_\d{2})(?!\d)", 1), F.lit("_"), F.lit("-")), F.lit(""))
-    as_minute = F.when(minute.try_cast("timestamp").isNotNull(), F.struct(minute.alias("value"), F.lit("minute").alias("precision")))
-    day = lambda c: F.when(c.try_cast("date").isNotNull(), F.struct(c.alias("value"), F.lit("day").alias("precision")))
-    return F.coalesce(as_minute, day(iso), day(low))
+    as_minute = F.when(minute.try_cast("timestamp").isNotNull(), F.struct(minute.alias("value"), F.lit("minute").alias("precision"), F.lit("filename:gemini_notes").alias("basis")))
+    day = lambda c, basis: F.when(c.try_cast("date").isNotNull(), F.struct(c.alias("value"), F.lit("day").alias("precision"), F.lit(basis).alias("basis")))
+    return F.coalesce(as_minute, day(iso, "filename:iso_date"), day(low, "filename:underscore_date"))
 
 
 def content_time(provenance: Column, name: Column) -> Column:
@@ -47,7 +49,7 @@ def content_time(provenance: Column, name: Column) -> Column:
     declared = partial(provenance)
     return F.coalesce(
         F.when(declared.isNotNull(), F.struct(declared["value"].alias("value"), declared["precision"].alias("precision"), F.lit("provenance").alias("basis"))),
-        F.when(named.isNotNull(), F.struct(named["value"].alias("value"), named["precision"].alias("precision"), F.when(named["precision"] == "minute", "filename:gemini_notes").when(name.rlike(r"(?<!\d)\d{4}-\d{2}-\d{2}(?!\d)"), "filename:iso_date").otherwise("filename:underscore_date").alias("basis"))),
+        named,
     )
 
 

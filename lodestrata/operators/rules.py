@@ -214,15 +214,29 @@ def _(t):
     return _twice(e, "event_id").unionByName(_of(refs, "event_id", "reference out of range")).unionByName(_of(wrong, "event_id", "value"))
 
 
-def violations(tables: Tables, only: list[str] | None = None) -> DataFrame:
-    """All violations of the rules whose tables are there, as one query."""
-    found = [f(tables) for name, (needs, f) in RULES.items() if all(n in tables for n in needs) and (only is None or name in only)]
-    return reduce(DataFrame.unionByName, found)
-
-
-def require(tables: Tables, only: list[str] | None = None) -> None:
+def violations(tables: Tables, only: list[str] | None = None, absent: str = "report") -> DataFrame:
+    """All violations as one query, of all rules or of those named in `only`.
+
+    A rule whose tables are not there can't be checked, which is a violation
+    too; absent="skip" leaves such rules out, for a caller who knows that a run
+    has no such tables.
+    """
+    from lodestrata.operators import routing  # noqa: F401  registers its rules
+
+    if unknown := set(only or ()) - set(RULES):
+        raise ValueError(f"no such rules: {sorted(unknown)}")
+    spark = next(iter(tables.values())).sparkSession
+    wanted = {name: r for name, r in RULES.items() if only is None or name in only}
+    skipped = [(name, "run", f"not checked: no table {', '.join(n for n in needs if n not in tables)}") for name, (needs, _) in wanted.items() if any(n not in tables for n in needs)]
+    found = [f(tables) for needs, f in wanted.values() if all(n in tables for n in needs)]
+    if skipped and absent != "skip":
+        found.append(spark.createDataFrame(skipped, "rule string, subject string, detail string"))
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "rule string, subject string, detail string")
+
+
+def require(tables: Tables, only: list[str] | None = None, absent: str = "report") -> None:
     """Raise with the first twenty violations by rule and subject, if there are any."""
-    bad = violations(tables, only).orderBy("rule", "subject", "detail").limit(20).collect()
+    bad = violations(tables, only, absent).orderBy("rule", "subject", "detail").limit(20).collect()
     if bad:
         raise ValueError("; ".join(f"{r.rule} {r.subject}: {r.detail}" for r in bad))
 

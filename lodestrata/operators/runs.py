@@ -13,9 +13,8 @@ Stage = tuple[str, Callable[[SparkSession, dict[str, DataFrame]], DataFrame]]
 
 
 def receipts(spark: SparkSession, root: str) -> dict[str, dict]:
-    if not sinks.exists(spark, f"{root}/receipts"):
-        return {}
-    return {r.stage: r.asDict() for r in spark.read.schema("stage string, ordinal int, inputs string, output string, path string").json(f"{root}/receipts").orderBy("ordinal").collect()}
+    known = sinks.pointed(spark, f"{root}/RECEIPTS")
+    return {r["stage"]: r for r in known["receipts"]} if known else {}
 
 
 def run(spark: SparkSession, root: str, inputs: dict[str, DataFrame], stages: list[Stage]) -> tuple[dict[str, DataFrame], list[str]]:
@@ -24,7 +23,9 @@ def run(spark: SparkSession, root: str, inputs: dict[str, DataFrame], stages: li
     A stage sees the inputs and all earlier stages' tables. Its receipt binds
     the digests of what it saw and of what it made; the longest head of stages
     whose receipts hold, outputs included, is taken over, and all that follow
-    run and write new tables. Earlier tables are never overwritten.
+    run and write new tables. Earlier tables are never overwritten. A table is
+    written aside and put in place in one step, so that one that is there is
+    whole, and the receipts are one small file that is replaced in one step.
     """
     known = receipts(spark, root)
     tables, ran, resumed = dict(inputs), [], True
@@ -38,14 +39,14 @@ def run(spark: SparkSession, root: str, inputs: dict[str, DataFrame], stages: li
                 tables[name], seen = df, seen | {name: old["output"]}
                 continue
         resumed = False
-        path = f"{root}/tables/{name}-{digest_of([need, len(ran)])[:16]}"
-        if not sinks.exists(spark, path):
-            sinks.create(stage(spark, tables), path)
+        folder = f"{name}-{digest_of([need, len(ran)])[:16]}"
+        path = f"{root}/tables/{folder}/table"
+        if not sinks.exists(spark, f"{root}/tables/{folder}"):
+            sinks.commit({"table": stage(spark, tables)}, f"{root}/tables", folder)
         df = spark.read.parquet(path)
         out = sinks.digest(df)
         known[name] = {"stage": name, "ordinal": n, "inputs": need, "output": out, "path": path}
-        rows = [tuple(known[s][c] for c in ("stage", "ordinal", "inputs", "output", "path")) for s, _ in stages[: n + 1] if s in known]
-        spark.createDataFrame(rows, "stage string, ordinal int, inputs string, output string, path string").coalesce(1).write.mode("overwrite").json(f"{root}/receipts")
+        sinks.point(spark, f"{root}/RECEIPTS", {"receipts": [known[s] for s, _ in stages[: n + 1] if s in known]})
         tables[name], seen = df, seen | {name: out}
         ran.append(name)
     return tables, ran

@@ -25,6 +25,18 @@ def placed(df: DataFrame, order: list[Column], into: str = "place") -> DataFrame
     return t.join(before, "__pid").select(*df.columns, (F.col("__row") - F.col("__first") + F.col("__before") + 1).alias(into))
 
 
+def running(df: DataFrame, order: list[str], value: str, into: str) -> DataFrame:
+    """df with the sum of `value` over all rows before each in a total order, made like `placed`."""
+    from lodestrata.session import written
+
+    ranged = df.repartitionByRange(*order).withColumn("__pid", F.spark_partition_id())
+    t = written(ranged, "running")
+    sums = t.groupBy("__pid").agg(F.sum(value).alias("__sum"))  # a row a partition
+    starts = sums.select("__pid", F.coalesce(F.sum("__sum").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__start"))
+    inside = F.coalesce(F.sum(value).over(Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return t.withColumn("__inside", inside).join(starts, "__pid").select(*df.columns, (F.col("__start") + F.col("__inside")).alias(into))
+
+
 def timeline(events: DataFrame) -> DataFrame:
     """events (event_id, record_id, status, sort_ts, text) in their groups: dated ones by instant, then unknown, then conflicting ones; ties by ids and text."""
     group = F.when(F.col("status").isin("known", "approximate"), 0).when(F.col("status") == "unknown", 1).otherwise(2)
@@ -43,8 +55,22 @@ def outbox(referrals: DataFrame, target: str = "target") -> DataFrame:
     return referrals.groupBy(target).agg(F.count("*").alias("n"), sorted_set("referral_id").alias("referral_ids"))
 
 
+def pages(rows: DataFrame, group: list[str], order: str, line: Column, size: int = 1000) -> DataFrame:
+    """Markdown pages of at most `size` lines: group, page (from 1) and text. Lines are placed over sampled ranges, so that a large group is many pages and no single task's work."""
+    from lodestrata.session import written
+
+    rows = rows.select(*group, F.col(order).alias("__o"), line.alias("__l"))
+    at = placed(rows, [F.asc_nulls_first(g) for g in group] + [F.asc("__o"), F.asc("__l")], "__place")
+    at = written(at, "pages")
+    first = at.groupBy(*group).agg(F.min("__place").alias("__first"))
+    same = at.join(first.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__first"), [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)])
+    number = F.expr(f"(__place - __first) div {size} + 1").cast("int")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__place", "__l"))), lambda x: x["__l"]), "\n")
+    return same.groupBy(*group, number.alias("page")).agg(text.alias("text"))
+
+
 def page(rows: DataFrame, group: list[str], order: str, line: Column) -> DataFrame:
-    """A Markdown page for each group: its lines in order. A page holds one group's rows, which its reader reads as one text."""
+    """A Markdown page for each group: its lines in order. A page holds one group's rows, which its reader reads as one text; `pages` bounds them."""
     return rows.select(*group, F.struct(F.col(order).alias("o"), line.alias("l")).alias("x")).groupBy(*group).agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["l"]), "\n").alias("page"))
 
 

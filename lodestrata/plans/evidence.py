@@ -182,12 +182,12 @@ def q_coverage_dup(spark, sf_dir):
     return _fault(spark, sf_dir, "duplicate")
 
 
-SPANS = "spans AS (SELECT l_suppkey AS k, (l_orderkey % 900 + 1)::INT AS a, (l_orderkey % 900 + 1 + l_linenumber)::INT AS b FROM lineitem WHERE l_quantity < 10)"
+SPANS = "spans AS (SELECT l_suppkey AS k, (l_orderkey % 900 + 1)::INT AS a, (l_orderkey % 900 + 1 + l_linenumber)::INT AS b FROM lineitem)"
 
 
 def _spans(spark, sf_dir):
     a = (F.col("l_orderkey") % 900 + 1).cast("int")
-    return table(spark, sf_dir, "lineitem").where("l_quantity < 10").select(F.col("l_suppkey").alias("k"), a.alias("start"), (a + F.col("l_linenumber")).cast("int").alias("end"))
+    return table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k"), a.alias("start"), (a + F.col("l_linenumber")).cast("int").alias("end"))
 
 
 @query(f"""WITH {SPANS}, o AS (SELECT *, max(b) OVER (PARTITION BY k ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM spans),
@@ -197,7 +197,7 @@ def q_interval_merge(spark, sf_dir):
     return intervals.merged(_spans(spark, sf_dir), ["k"])
 
 
-SEGS = "n AS (SELECT doc_id, len(string_split(text, chr(10)))::INT AS lines FROM documents), segs AS (SELECT doc_id, i * 10 + 1 AS a, least(i * 10 + 10, lines)::INT AS b FROM (SELECT doc_id, lines, unnest(range(((lines + 9) // 10)::INT))::INT AS i FROM n)), sel AS (SELECT doc_id, (doc_id % 5 + 2)::INT AS a, (doc_id % 5 + 2 + doc_id % 8)::INT AS b FROM documents WHERE doc_id % 3 = 0)"
+SEGS = "n AS (SELECT doc_id, len(string_split(text, chr(10)))::INT AS lines FROM documents), segs AS (SELECT doc_id, i * 10 + 1 AS a, least(i * 10 + 10, lines)::INT AS b FROM (SELECT doc_id, lines, unnest(range(((lines + 9) // 10)::INT))::INT AS i FROM n)), sel AS (SELECT doc_id, (doc_id % 5 + 2)::INT AS a, (doc_id % 5 + 2 + doc_id % 8)::INT AS b FROM documents)"
 
 
 def _segments(spark, sf_dir):
@@ -207,7 +207,7 @@ def _segments(spark, sf_dir):
 
 def _chosen(spark, sf_dir):
     a = F.col("doc_id") % 5 + 2
-    return documents(spark, sf_dir).where("doc_id % 3 = 0").select("doc_id", a.cast("int").alias("start"), (a + F.col("doc_id") % 8).cast("int").alias("end"))
+    return documents(spark, sf_dir).select("doc_id", a.cast("int").alias("start"), (a + F.col("doc_id") % 8).cast("int").alias("end"))
 
 
 @query(f"""WITH {SEGS}, p AS (SELECT s.doc_id, s.a AS sa, s.b AS sb, unnest(list_distinct([s.a, greatest(r.a, s.a), CASE WHEN r.b < s.b THEN r.b + 1 ELSE s.a END])) AS a FROM segs s LEFT JOIN sel r ON s.doc_id = r.doc_id AND r.a <= s.b AND s.a <= r.b),
@@ -229,20 +229,18 @@ def q_interval_cover_check(spark, sf_dir):
     return intervals.not_covering(rows, ["k"], "ordinal")
 
 
-@query(f"""WITH RECURSIVE {PYTHON_LINES}, l AS (SELECT doc_id, line_no, length(text) + 11 AS size FROM lines WHERE doc_id % 20 = 0),
-g(doc_id, line_no, chars, n) AS (SELECT doc_id, line_no, 300 + size, 1 FROM l WHERE line_no = 1
-  UNION ALL SELECT l.doc_id, l.line_no, CASE WHEN g.chars + l.size > 6000 THEN 300 + l.size ELSE g.chars + l.size END, CASE WHEN g.chars + l.size > 6000 THEN g.n + 1 ELSE g.n END FROM g JOIN l ON l.doc_id = g.doc_id AND l.line_no = g.line_no + 1),
-p AS (SELECT doc_id, n, min(line_no)::INT AS start_line, max(line_no)::INT AS end_line, max(chars)::INT AS chars FROM g GROUP BY doc_id, n)
-SELECT doc_id, row_number() OVER (ORDER BY doc_id, n) AS packet_no, start_line, end_line, chars FROM p""")
+@query(f"""WITH {PYTHON_LINES}, l AS (SELECT doc_id, list([{{'a': line_no::INT, 'b': line_no::INT, 'chars': (300 + length(text) + 11)::INT}}] ORDER BY line_no) AS ls FROM lines GROUP BY doc_id),
+f AS (SELECT doc_id, list_reduce(ls, lambda acc, x: CASE WHEN acc[len(acc)].chars + x[1].chars - 300 > 6000 THEN list_concat(acc, x) ELSE list_concat(acc[:len(acc) - 1], [{{'a': acc[len(acc)].a, 'b': x[1].b, 'chars': acc[len(acc)].chars + x[1].chars - 300}}]) END) AS ps FROM l),
+p AS (SELECT doc_id, unnest(ps) AS p FROM f)
+SELECT doc_id, row_number() OVER (ORDER BY doc_id, p.a) AS packet_no, p.a AS start_line, p.b AS end_line, p.chars AS chars FROM p""")
 def q_packets_greedy(spark, sf_dir):
-    lines = python_lines(documents(spark, sf_dir).where("doc_id % 20 = 0"))
-    return packets.packets(lines, 6000, ["doc_id"], overhead=300)
+    return packets.packets(python_lines(documents(spark, sf_dir)), 6000, ["doc_id"], overhead=300, oversize="alone")
 
 
-@query(f"""WITH {SEGS}, pts AS (SELECT doc_id, unnest([1, 7, 15, 400])::INT AS line FROM documents WHERE doc_id % 2 = 0)
+@query(f"""WITH {SEGS}, pts AS (SELECT doc_id, unnest([1, 7, 15, 400])::INT AS line FROM documents)
 SELECT p.doc_id, p.line, coalesce(string_agg(s.doc_id || ':' || ((s.a - 1) // 10)::INT, ',' ORDER BY s.a), '') AS found FROM pts p LEFT JOIN segs s ON s.doc_id = p.doc_id AND p.line BETWEEN s.a AND s.b GROUP BY p.doc_id, p.line""")
 def q_point_in_segment(spark, sf_dir):
-    pts = documents(spark, sf_dir).where("doc_id % 2 = 0").select("doc_id", F.explode(F.array(*map(F.lit, (1, 7, 15, 400)))).alias("line"))
+    pts = documents(spark, sf_dir).select("doc_id", F.explode(F.array(*map(F.lit, (1, 7, 15, 400)))).alias("line"))
     return intervals.containing(pts, _segments(spark, sf_dir), ["doc_id"]).select("doc_id", "line", F.array_join("found", ",").alias("found"))
 
 
@@ -256,13 +254,13 @@ def q_span_within(spark, sf_dir):
     return intervals.within_first(_chosen(spark, sf_dir), _segments(spark, sf_dir), ["doc_id"])
 
 
-QUOTES = f"{LINES}, q AS (SELECT a.doc_id AS file, a.doc_id * 1000 + a.line_no AS quote_id, a.line_no AS old_start, a.text || chr(10) || b.text AS quote, a.text AS t1, b.text AS t2 FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND b.line_no = a.line_no + 1 WHERE a.line_no % 4 = 1), l2 AS (SELECT doc_id, 'inserted' AS text, 1 AS line_no FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, CASE WHEN line_no % 9 = 0 THEN text || '!' ELSE text END, line_no + CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END FROM lines), places AS (SELECT q.quote_id, q.old_start, a.line_no AS start FROM q JOIN l2 a ON a.doc_id = q.file AND a.text = q.t1 JOIN l2 b ON b.doc_id = q.file AND b.text = q.t2 AND b.line_no = a.line_no + 1)"
+QUOTES = f"{LINES}, q AS (SELECT a.doc_id AS file, a.doc_id * 1000 + a.line_no AS quote_id, a.line_no AS old_start, a.text || chr(10) || b.text AS quote, a.text AS t1, b.text AS t2 FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND b.line_no = a.line_no + 1), l2 AS (SELECT doc_id, 'inserted' AS text, 1 AS line_no FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, CASE WHEN line_no % 9 = 0 THEN text || '!' ELSE text END, line_no + CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END FROM lines), places AS (SELECT q.quote_id, q.old_start, a.line_no AS start FROM q JOIN l2 a ON a.doc_id = q.file AND a.text = q.t1 JOIN l2 b ON b.doc_id = q.file AND b.text = q.t2 AND b.line_no = a.line_no + 1)"
 
 
 def _quotes(spark, sf_dir):
     lines = exploded(documents(spark, sf_dir))
     nxt = lines.select("doc_id", (F.col("line_no") - 1).alias("line_no"), F.col("text").alias("t2"))
-    q = lines.where("line_no % 4 = 1").join(nxt, ["doc_id", "line_no"]).select(F.col("doc_id").alias("file"), (F.col("doc_id") * 1000 + F.col("line_no")).alias("quote_id"), F.col("line_no").alias("old_start"), F.concat("text", F.lit("\n"), "t2").alias("quote"))
+    q = lines.join(nxt, ["doc_id", "line_no"]).select(F.col("doc_id").alias("file"), (F.col("doc_id") * 1000 + F.col("line_no")).alias("quote_id"), F.col("line_no").alias("old_start"), F.concat("text", F.lit("\n"), "t2").alias("quote"))
     moved = lines.select(F.col("doc_id").alias("file"), (F.col("line_no") + F.when(F.col("doc_id") % 2 == 0, 1).otherwise(0)).alias("line_no"), F.when(F.col("line_no") % 9 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text"))
     new = documents(spark, sf_dir).where("doc_id % 2 = 0").select(F.col("doc_id").alias("file"), F.lit(1).alias("line_no"), F.lit("inserted").alias("text")).unionByName(moved)
     return q, new
@@ -300,10 +298,10 @@ def q_citation_exact(spark, sf_dir):
     return quotes.checked(cites, d.where("doc_id % 19 <> 0").select("doc_id", lines.alias("lines")), "doc_id").drop("quote")
 
 
-@query(f"WITH {LINES}, c AS (SELECT doc_id, (doc_id % 6 + 2)::INT AS a FROM documents WHERE doc_id % 8 = 0) SELECT c.doc_id AS citation_id, l.line_no::INT AS line_no, l.text, l.line_no BETWEEN c.a AND c.a + 1 AS cited FROM c JOIN lines l ON l.doc_id = c.doc_id AND l.line_no BETWEEN c.a - 2 AND c.a + 3")
+@query(f"WITH {LINES}, c AS (SELECT doc_id, (doc_id % 6 + 2)::INT AS a FROM documents) SELECT c.doc_id AS citation_id, l.line_no::INT AS line_no, l.text, l.line_no BETWEEN c.a AND c.a + 1 AS cited FROM c JOIN lines l ON l.doc_id = c.doc_id AND l.line_no BETWEEN c.a - 2 AND c.a + 3")
 def q_citation_context(spark, sf_dir):
     a = (F.col("doc_id") % 6 + 2).cast("int")
-    c = documents(spark, sf_dir).where("doc_id % 8 = 0").select(F.col("doc_id").alias("citation_id"), F.col("doc_id").alias("file"), a.alias("start"), (a + 1).alias("end"))
+    c = documents(spark, sf_dir).select(F.col("doc_id").alias("citation_id"), F.col("doc_id").alias("file"), a.alias("start"), (a + 1).alias("end"))
     return quotes.with_context(c, exploded(documents(spark, sf_dir)).withColumnRenamed("doc_id", "file"))
 
 
@@ -312,13 +310,13 @@ def _aliases(spark):
     return spark.createDataFrame(rows, "alias string, target string").withColumn("words", F.split("alias", " "))
 
 
-ASCII_TOKENS = f"{LINES}, w AS (SELECT doc_id, line_no, unnest(t) AS token, generate_subscripts(t, 1) AS i FROM (SELECT doc_id, line_no, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS t FROM lines WHERE doc_id % 5 = 0)), al AS (SELECT unnest(['the','and the','inwh','of the','the the','que','de la','la','ing','und die']) AS alias, unnest(['p1','p2','p1','p3','p4','p5','p6','p7','p8','p9']) AS target), m AS (SELECT w.doc_id, w.line_no, w.i AS a, w.i AS b, al.alias, al.target FROM w JOIN al ON w.token = al.alias UNION ALL SELECT w.doc_id, w.line_no, w.i, w.i + 1, al.alias, al.target FROM w JOIN w v ON w.doc_id = v.doc_id AND w.line_no = v.line_no AND v.i = w.i + 1 JOIN al ON w.token || ' ' || v.token = al.alias)"
+ASCII_TOKENS = f"{LINES}, w AS (SELECT doc_id, line_no, unnest(t) AS token, generate_subscripts(t, 1) AS i FROM (SELECT doc_id, line_no, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS t FROM lines)), al AS (SELECT unnest(['the','and the','inwh','of the','the the','que','de la','la','ing','und die']) AS alias, unnest(['p1','p2','p1','p3','p4','p5','p6','p7','p8','p9']) AS target), m AS (SELECT w.doc_id, w.line_no, w.i AS a, w.i AS b, al.alias, al.target FROM w JOIN al ON w.token = al.alias UNION ALL SELECT w.doc_id, w.line_no, w.i, w.i + 1, al.alias, al.target FROM w JOIN w v ON w.doc_id = v.doc_id AND w.line_no = v.line_no AND v.i = w.i + 1 JOIN al ON w.token || ' ' || v.token = al.alias)"
 
 
 def _ascii_mentions(spark, sf_dir):
     """Matches by numbers of words, so that SQL without spans can follow."""
     words = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")
-    lines = exploded(documents(spark, sf_dir).where("doc_id % 5 = 0")).select("doc_id", "line_no", F.transform(words, lambda w, i: F.struct(w.alias("token"), (i + 1).alias("start"), (i + 2).alias("end"))).alias("tokens"))
+    lines = exploded(documents(spark, sf_dir)).select("doc_id", "line_no", F.transform(words, lambda w, i: F.struct(w.alias("token"), (i + 1).alias("start"), (i + 2).alias("end"))).alias("tokens"))
     return mentions.mentions(lines, _aliases(spark), ["doc_id", "line_no"])
 
 
@@ -364,6 +362,6 @@ def q_quote_setdiff(spark, sf_dir):
     return delta.set_difference(rows(d), rows(second(d)), "doc_id")
 
 
-@query("SELECT doc_id, trim(regexp_replace(replace(substr(text, 1, 400), chr(10), ' '), ' +', ' ', 'g')) AS line, replace(replace(replace(substr(text, 1, 80), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS html, printf('L%06d | ', doc_id) AS label FROM documents")
+@query("SELECT doc_id, trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g'), ' ') AS line, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS html, printf('L%06d | ', doc_id) AS label FROM documents")
 def q_rendering(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", text.collapsed(F.substring("text", 1, 400)).alias("line"), text.escaped_html(F.substring("text", 1, 80)).alias("html"), F.format_string("L%06d | ", "doc_id").alias("label"))
+    return documents(spark, sf_dir).select("doc_id", text.collapsed(F.col("text")).alias("line"), text.escaped_html(F.col("text")).alias("html"), F.format_string("L%06d | ", "doc_id").alias("label"))

@@ -27,12 +27,12 @@ def q_components(spark, sf_dir):
     return graph.connected_components(_hash_edges(spark, sf_dir))
 
 
-MOD_EDGES = "e AS (SELECT p_partkey AS src, CASE WHEN p_partkey % 50 = 7 THEN p_partkey - 5 WHEN p_partkey % 97 = 0 THEN p_partkey ELSE p_partkey + 1 END AS dst FROM part WHERE p_partkey % 10 <> 3 AND p_partkey < 700)"
+MOD_EDGES = "e AS (SELECT p_partkey AS src, CASE WHEN p_partkey % 50 = 7 THEN p_partkey - 5 WHEN p_partkey % 97 = 0 THEN p_partkey ELSE p_partkey + 1 END AS dst FROM part WHERE p_partkey % 10 <> 3)"
 
 
 def _mod_edges(spark, sf_dir):
     p = F.col("p_partkey")
-    return table(spark, sf_dir, "part").where("p_partkey % 10 <> 3 and p_partkey < 700").select(p.alias("src"), F.when(p % 50 == 7, p - 5).when(p % 97 == 0, p).otherwise(p + 1).alias("dst"))
+    return table(spark, sf_dir, "part").where("p_partkey % 10 <> 3").select(p.alias("src"), F.when(p % 50 == 7, p - 5).when(p % 97 == 0, p).otherwise(p + 1).alias("dst"))
 
 
 @query(f"WITH RECURSIVE {MOD_EDGES}, r AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM r JOIN e ON r.dst = e.src) SELECT DISTINCT e.src, e.dst FROM e JOIN r ON r.src = e.dst AND r.dst = e.src")
@@ -102,25 +102,25 @@ def q_fidelity_ratio(spark, sf_dir):
     return out.select("source", "declared", "matched", F.floor(F.round(F.col("match_fraction") * 1000, 6)).alias("per_mille"))
 
 
-RECORDS = "r AS (SELECT (CASE WHEN doc_id % 23 = 0 THEN 'XXX' ELSE ['REQ','DEC','UNC','INV'][doc_id % 4 + 1] END) || '-' || doc_id % 300 AS record_id, ['requirement','decision','uncertainty','investigation'][doc_id % 4 + 1] AS kind, CASE WHEN doc_id % 4 = 2 AND doc_id % 5 > 0 THEN 'unresolved' ELSE 'observed' END AS status, doc_id % 6 = 0 AS silent, doc_id FROM documents WHERE doc_id < 400)"
+RECORDS = "r AS (SELECT (CASE WHEN doc_id % 23 = 0 THEN 'XXX' ELSE ['REQ','DEC','UNC','INV'][doc_id % 4 + 1] END) || '-' || (doc_id - CASE WHEN doc_id % 40 = 4 THEN 4 ELSE 0 END) AS record_id, ['requirement','decision','uncertainty','investigation'][doc_id % 4 + 1] AS kind, CASE WHEN doc_id % 4 = 2 AND doc_id % 5 > 0 THEN 'unresolved' ELSE 'observed' END AS status, doc_id % 6 = 0 AS silent, doc_id FROM documents)"
 
 
 def _records(spark, sf_dir):
     i = F.col("doc_id")
     pick = lambda *x: F.element_at(F.array(*map(F.lit, x)), (i % 4 + 1).cast("int"))
-    d = documents(spark, sf_dir).where("doc_id < 400")
-    return d.select(F.concat(F.when(i % 23 == 0, "XXX").otherwise(pick("REQ", "DEC", "UNC", "INV")), F.lit("-"), (i % 300).cast("string")).alias("record_id"), pick("requirement", "decision", "uncertainty", "investigation").alias("kind"), F.when((i % 4 == 2) & (i % 5 > 0), "unresolved").otherwise("observed").alias("epistemic_status"), F.substring("text", 1, 60).alias("statement"), F.when(i % 6 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("why?"))).alias("open_questions"), "doc_id")
+    d = documents(spark, sf_dir)
+    return d.select(F.concat(F.when(i % 23 == 0, "XXX").otherwise(pick("REQ", "DEC", "UNC", "INV")), F.lit("-"), (i - F.when(i % 40 == 4, 4).otherwise(0)).cast("string")).alias("record_id"), pick("requirement", "decision", "uncertainty", "investigation").alias("kind"), F.when((i % 4 == 2) & (i % 5 > 0), "unresolved").otherwise("observed").alias("epistemic_status"), F.substring("text", 1, 60).alias("statement"), F.when(i % 6 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("why?"))).alias("open_questions"), "doc_id")
 
 
 def _tables(spark, sf_dir):
-    d = documents(spark, sf_dir).where("doc_id < 400")
+    d = documents(spark, sf_dir)
     i = F.col("doc_id")
     lines = split_lines(F.col("text"))
     files = d.select(i.cast("string").alias("evidence_id"), F.col("source").alias("source_id"), F.when(i % 3 == 0, "repository").otherwise("meetings").alias("source_type"), F.concat("lang", F.lit("/"), i.cast("string")).alias("relative_path"), lines.alias("lines"))
     c = _records(spark, sf_dir)
     cites = c.join(d.select("doc_id", lines.alias("ls")), "doc_id").select("record_id", F.lit(0).alias("ordinal"), i.cast("string").alias("evidence_id"), F.lit(1).alias("start"), F.when(i % 29 == 0, 9999).otherwise(1).alias("end"), F.concat(F.try_element_at("ls", F.lit(1)), F.when(i % 31 == 0, F.lit("!")).otherwise("")).alias("quote"), F.lit(None).cast("string").alias("segment_id"))
     cov = d.where("doc_id % 37 <> 0").select(i.cast("string").alias("evidence_id"), F.when(i % 41 == 0, "deferred").otherwise("used").alias("disposition"), F.when(i % 43 == 0, "keyword").alias("method"))
-    rel = c.select(F.col("record_id").alias("src"), F.lit("refines").alias("type"), F.concat(F.lit("REQ-"), (i % 300).cast("string")).alias("dst"))
+    rel = c.select(F.col("record_id").alias("src"), F.lit("refines").alias("type"), F.concat(F.lit("REQ-"), (F.floor(i / 8) * 4).cast("string")).alias("dst"))
     return {"files": files, "records": c.drop("doc_id"), "citations": cites, "coverage": cov, "relations": rel}
 
 
@@ -136,9 +136,9 @@ UNION ALL SELECT 'V12_triage_names_its_method', doc_id::VARCHAR FROM r WHERE doc
 UNION ALL SELECT 'V13_exact_citations', record_id || ':0' FROM r WHERE doc_id % 29 = 0 OR doc_id % 31 = 0
 UNION ALL SELECT 'V20_used_means_cited', doc_id::VARCHAR FROM r WHERE doc_id % 37 = 0 OR doc_id % 41 = 0
 UNION ALL SELECT 'V25_nothing_deferred', doc_id::VARCHAR FROM r WHERE doc_id % 37 <> 0 AND doc_id % 41 = 0
-UNION ALL SELECT 'V17_relations', record_id || ':refines:REQ-' || doc_id % 300 FROM r WHERE 'REQ-' || doc_id % 300 NOT IN (SELECT record_id FROM ids)
-UNION ALL SELECT 'V17_relations', record_id || ':refines:REQ-' || doc_id % 300 FROM r WHERE record_id = 'REQ-' || doc_id % 300
-UNION ALL SELECT 'V17_relations', record_id || ':refines:REQ-' || doc_id % 300 FROM r GROUP BY record_id, doc_id % 300 HAVING count(*) > 1)
+UNION ALL SELECT 'V17_relations', record_id || ':refines:REQ-' || doc_id // 8 * 4 FROM r WHERE 'REQ-' || doc_id // 8 * 4 NOT IN (SELECT record_id FROM ids)
+UNION ALL SELECT 'V17_relations', record_id || ':refines:REQ-' || doc_id // 8 * 4 FROM r WHERE record_id = 'REQ-' || doc_id // 8 * 4
+UNION ALL SELECT 'V17_relations', record_id || ':refines:REQ-' || doc_id // 8 * 4 FROM r GROUP BY record_id, doc_id // 8 HAVING count(*) > 1)
 SELECT rule, subject, count(*) AS n FROM v GROUP BY ALL""")
 def q_violations_all(spark, sf_dir):
     return rules.violations(_tables(spark, sf_dir), VIOLATED).groupBy("rule", "subject").agg(F.count("*").alias("n"))

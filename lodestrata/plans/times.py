@@ -18,11 +18,11 @@ def q_source_types_per_event(spark, sf_dir):
     return _events(spark, sf_dir).groupBy("user_id").agg(F.array_join(coverage.sorted_set("event_type"), ",").alias("types"))
 
 
-@query("WITH k AS (SELECT DISTINCT event_type AS k FROM events), u AS (SELECT user_id, list(DISTINCT event_type) AS have, bool_or(value > 400) AS r FROM events WHERE event_id % 5 = 0 GROUP BY user_id) SELECT user_id, coalesce((SELECT string_agg(k, ',' ORDER BY k) FROM k WHERE NOT list_contains(have, k)), '') AS missing, r AS has_relation FROM u")
+@query("WITH k AS (SELECT DISTINCT event_type AS k FROM events), u AS (SELECT user_id, list(DISTINCT event_type) AS have, bool_or(value > 400) AS r FROM events GROUP BY user_id) SELECT user_id, coalesce((SELECT string_agg(k, ',' ORDER BY k) FROM k WHERE NOT list_contains(have, k)), '') AS missing, r AS has_relation FROM u")
 def q_milestone(spark, sf_dir):
     e = _events(spark, sf_dir)
     kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())  # the kinds of an enumeration
-    return coverage.milestone(e.where("event_id % 5 = 0"), "user_id", "event_type", kinds, F.col("value") > 400).select("user_id", F.array_join("missing", ",").alias("missing"), "has_relation")
+    return coverage.milestone(e, "user_id", "event_type", kinds, F.col("value") > 400).select("user_id", F.array_join("missing", ",").alias("missing"), "has_relation")
 
 
 @query("""SELECT o_orderkey AS event_id, row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, CASE WHEN o_orderstatus = 'F' THEN o_orderdate END NULLS LAST, o_orderkey, o_custkey, o_orderpriority) AS place FROM orders""")
@@ -85,14 +85,14 @@ def q_newer_than_baseline(spark, sf_dir):
     return delta.newer_than(runs, 100).select("run_id")
 
 
-@query("""WITH l AS (SELECT event_id, 'd' || event_id % 3 AS digest FROM events WHERE event_id < 400), v AS (SELECT event_id, 'd' || CASE WHEN event_id % 11 = 0 THEN 9 ELSE event_id % 3 END AS digest, event_id // 4 AS family, event_id % 4 = 3 OR event_id % 16 = 1 AS cur, event_id % 13 <> 0 AS auth FROM events WHERE event_id BETWEEN 100 AND 600),
+@query("""WITH l AS (SELECT event_id, 'd' || event_id % 3 AS digest FROM events WHERE event_id % 6 <> 1), v AS (SELECT event_id, 'd' || CASE WHEN event_id % 11 = 0 THEN 9 ELSE event_id % 3 END AS digest, event_id // 4 AS family, event_id % 4 = 3 OR event_id % 16 = 1 AS cur, event_id % 13 <> 0 AS auth FROM events WHERE event_id % 7 <> 3),
 a AS (SELECT DISTINCT family FROM v WHERE cur AND auth)
 SELECT coalesce(v.event_id, l.event_id) AS item_id, CASE WHEN v.event_id IS NULL THEN 'unavailable' WHEN NOT auth THEN 'unauthorized' WHEN NOT cur AND a.family IS NOT NULL THEN 'superseded' WHEN NOT cur THEN 'withdrawn' WHEN l.digest <> v.digest THEN 'stale' ELSE 'current' END AS status FROM l FULL JOIN v ON l.event_id = v.event_id LEFT JOIN a ON a.family = v.family""")
 def q_intake_states(spark, sf_dir):
     i = F.col("event_id")
     e = _events(spark, sf_dir)
-    ledger = e.where("event_id < 400").select(i.alias("item_id"), F.lit("current").alias("status"), F.concat(F.lit("d"), (i % 3).cast("string")).alias("digest"))
-    seen = e.where("event_id between 100 and 600").select(i.alias("item_id"), F.concat(F.lit("d"), F.when(i % 11 == 0, 9).otherwise(i % 3).cast("string")).alias("digest"), F.floor(i / 4).alias("family"), ((i % 4 == 3) | (i % 16 == 1)).alias("current"), (i % 13 != 0).alias("authorised"))
+    ledger = e.where("event_id % 6 <> 1").select(i.alias("item_id"), F.lit("current").alias("status"), F.concat(F.lit("d"), (i % 3).cast("string")).alias("digest"))
+    seen = e.where("event_id % 7 <> 3").select(i.alias("item_id"), F.concat(F.lit("d"), F.when(i % 11 == 0, 9).otherwise(i % 3).cast("string")).alias("digest"), F.floor(i / 4).alias("family"), ((i % 4 == 3) | (i % 16 == 1)).alias("current"), (i % 13 != 0).alias("authorised"))
     return intake.discovered(ledger, seen).select("item_id", "status")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 
@@ -25,12 +26,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def digest(df: DataFrame) -> str:
-    """A digest of a table's rows that does not depend on their order: made from sums over row hashes."""
+    """A digest of a table's rows, their columns and nulls, that does not depend on their order: made from sums over four parts of each row's SHA-256."""
     cols = sorted(df.columns)
-    h = F.xxhash64(*cols).cast("decimal(38,0)")
-    g = F.xxhash64(F.lit(1), *cols).cast("decimal(38,0)")
-    r = df.agg(F.count("*"), F.sum(h), F.sum(g)).first()
-    return ":".join(str(x or 0) for x in r)
+    # In JSON every value has its name, so a null is no gap that another column could fill.
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]), {"ignoreNullFields": "false"})
+    h = df.select(F.sha2(row, 256).alias("h"))
+    part = lambda i: F.sum(F.conv(F.substring("h", 16 * i + 1, 16), 16, 10).cast("decimal(38,0)"))
+    r = h.agg(F.count("*"), *[part(i) for i in range(4)]).first()
+    return hashlib.sha256(json.dumps([cols, [str(x or 0) for x in r]]).encode()).hexdigest()
 
 
 def commit(tables: dict[str, DataFrame], root: str, name: str) -> str:

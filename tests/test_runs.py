@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.operators import context, runs
+from lodestrata.sources import sinks
 
 
 def test_only_what_changed_runs_again(spark, tmp_path):
@@ -16,6 +17,25 @@ def test_only_what_changed_runs_again(spark, tmp_path):
     assert sorted(runs.receipts(spark, root)) == ["double", "sum"]
 
 
+def test_half_written_tables_are_not_taken(spark, tmp_path):
+    root = str(tmp_path / "run")
+    numbers = spark.createDataFrame([(1,), (2,)], "n long")
+
+    def broken(s, t):
+        return t["numbers"].select(F.raise_error(F.lit("no")).cast("long").alias("n"))
+
+    with pytest.raises(Exception, match="no"):
+        runs.run(spark, root, {"numbers": numbers}, [("double", broken)])
+    tables, ran = runs.run(spark, root, {"numbers": numbers}, [("double", lambda s, t: t["numbers"].select((F.col("n") * 2).alias("n")))])
+    assert ran == ["double"] and tables["double"].count() == 2
+
+
+def test_digests_know_columns_nulls_and_copies(spark):
+    d = lambda rows: sinks.digest(spark.createDataFrame(rows, "a string, b string"))
+    assert len({d(x) for x in ([("x", None)], [(None, "x")], [("x", "x")], [("x", None)] * 2, [])}) == 5
+    assert d([("x", None), ("y", "z")]) == d([("y", "z"), ("x", None)])
+
+
 def test_context_bundle(spark):
     scores = spark.createDataFrame([(1, "a", 5), (2, "a", 5), (1, "b", 4)], "query int, key string, score long")
     edges = spark.createDataFrame([("a", "c"), ("b", "z")], "src string, dst string")
