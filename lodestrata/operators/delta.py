@@ -68,3 +68,8 @@ def set_difference(old: DataFrame, new: DataFrame, group: str) -> DataFrame:
     a, b = old.distinct().withColumn("side", F.lit(1)), new.distinct().withColumn("side", F.lit(2))
     both = a.unionByName(b).groupBy(*old.columns).agg(F.sum("side").alias("side"))
     return both.groupBy(group).agg(F.count_if(F.col("side") == 2).alias("added"), F.count_if(F.col("side") == 1).alias("removed")).where("added + removed > 0")
+
+
+def next_sequences(runs: DataFrame) -> DataFrame:
+    """project_id, the number of its next capture and the time of its latest; `next_sequence` is the same for one project, with the clock's guard."""
+    return runs.groupBy("project_id").agg((F.coalesce(F.max("sequence"), F.lit(0)) + 1).cast("long").alias("next"), F.max("created_at").alias("latest"))

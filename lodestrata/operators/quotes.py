@@ -68,3 +68,9 @@ def remapped(records: DataFrame, kept: DataFrame) -> DataFrame:
     pairs = F.array_sort(F.collect_list(F.when(F.col("here"), F.struct("old", "new", "citation_id"))))
     out = rows.groupBy("record_id").agg(pairs.alias("p"), F.count_if(~F.col("here")).alias("lost")).where(F.size("p") > 0)
     return out.select("record_id", F.col("p.citation_id").alias("citations"), "lost", F.map_from_arrays(F.col("p.old"), F.col("p.new")).alias("old_to_new"))
+
+
+def preceding(rows: DataFrame, keys: list[str], order: str, value: str, into: str) -> DataFrame:
+    """rows with the last value that is not null before each, as the heading above a table's row."""
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn(into, F.last(value, ignorenulls=True).over(before))

@@ -33,11 +33,14 @@ def scored(rows: DataFrame, key: str, fields: dict[str, tuple[Column, int]], ter
     return out.select(key, F.aggregate("reasons", F.lit(0), lambda a, r: a + r["points"]).cast("long").alias("score"), "reasons")
 
 
-def scored_batch(rows: DataFrame, key: str, fields: dict[str, tuple[Column, int]], queries: DataFrame) -> DataFrame:
+def scored_batch(rows: DataFrame, key: str, fields: dict[str, tuple[Column, int]], queries: DataFrame, most: int = 10_000) -> DataFrame:
     """(query, key, score, matched terms) for a table of queries (query, terms: array): one pass over rows for all of them.
 
-    The query table is small by contract and broadcast; rows are scanned once.
+    The query table is small by contract, at most `most` terms, and broadcast;
+    rows are scanned once.
     """
+    if queries.select(F.explode("terms")).limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} terms")
     terms = queries.select("query", F.size("terms").alias("n"), F.explode("terms").alias("term"))
     points = sum((F.when(F.contains(c, F.col("term")), F.lit(w)).otherwise(0) for c, w in fields.values()), F.lit(0))
     hits = rows.crossJoin(F.broadcast(terms)).select("query", "n", key, "term", points.alias("points")).where("points > 0")
@@ -56,6 +59,12 @@ def top(ranked: DataFrame, key: str, limit: int = 50) -> DataFrame:
     return ranked.orderBy(F.asc("hops"), F.desc("score"), F.asc(key)).limit(limit)
 
 
+def top_counted(ranked: DataFrame, key: str, limit: int = 50) -> tuple[DataFrame, int, int]:
+    """The same, with how many rows there are and how many of them are left out."""
+    total = ranked.count()
+    return top(ranked, key, limit), total, max(0, total - limit)
+
+
 def expanded(ranked: DataFrame, edges: DataFrame, pool: DataFrame, key: str, hops: int = 2) -> DataFrame:
     """ranked (key, score) and what its rows lead to over edges (src, dst) within the pool: key, score, hops, via.
 

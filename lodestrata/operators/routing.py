@@ -12,7 +12,7 @@ links        record_id, target: what records declare
 selected     evidence_id, start, end: selected passages, if a run is targeted
 releases     project_id, run_id, visibility
 entries      key, project_id, run_id, record_id, visibility
-publications ordinal, run_id, sequence, created_at, rollback_reason
+publications ordinal, run_id, sequence, created_at, rollback_reason, and project_id if there are several projects
 reviews      run_id, decision, reviewer, reviewed_at, created_at, approved (array), checks (map of boolean)
 investigations record_id, scope (array), present (bool)
 """
@@ -79,8 +79,10 @@ def _(t):
 
 @rule("V29_publication_order", "publications")
 def _(t):
-    before = F.max(F.struct("sequence", "created_at")).over(Window.orderBy("ordinal").rowsBetween(-1, -1))
-    late = t["publications"].withColumn("was", before).where(F.struct("sequence", "created_at") < F.col("was")).where("rollback_reason is null or trim(rollback_reason) = ''")
+    p = t["publications"]
+    p = p if "project_id" in p.columns else p.withColumn("project_id", F.lit(None).cast("string"))
+    before = F.max(F.struct("sequence", "created_at")).over(Window.partitionBy("project_id").orderBy("ordinal").rowsBetween(-1, -1))
+    late = p.withColumn("was", before).where(F.struct("sequence", "created_at") < F.col("was")).where("rollback_reason is null or trim(rollback_reason) = ''")
     return _of(late, "run_id", "older than the current release without a reason").unionByName(_twice(t["publications"], "run_id"))
 
 

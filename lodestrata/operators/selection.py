@@ -39,3 +39,14 @@ def permitted(rows: DataFrame, grants: DataFrame) -> DataFrame:
     g = grants.select(*[F.col(c).alias(f"g_{c}") for c in grants.columns])
     same = [F.col(c) == F.col(f"g_{c}") for c in ("from_project", "to_project", "source_id")]
     return rows.join(g, [*same, F.col("from_domain") == F.col("to_domain"), F.expr("path rlike g_path_regex")], "left_semi")
+
+
+def subset(needed: Column, have: Column) -> Column:
+    """Whether an array has all of another's elements."""
+    return F.size(F.array_except(needed, have)) == 0
+
+
+def in_passages(points: DataFrame, ranges: DataFrame, key: str = "evidence_id", line: str = "line") -> DataFrame:
+    """Points (key, line) inside any selected range (key, start, end) of their file."""
+    r = ranges.select(F.col(key).alias("__key"), F.col("start").alias("__start"), F.col("end").alias("__end"))
+    return points.join(r, (F.col(key) == F.col("__key")) & F.col(line).between(F.col("__start"), F.col("__end")), "left_semi")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestrata.plans import evidence, records, times
+from lodestrata.plans import evidence, knowledge, records, times
 from lodestrata.plans.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "evidence", "records", "times"]
+__all__ = ["ORACLE_SQL", "QUERIES", "evidence", "knowledge", "records", "times"]

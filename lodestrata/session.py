@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,22 +41,48 @@ def workers_import(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset, as in local tests, a temporary one that is then set."""
+    """The folder in spark.checkpoint.dir; where that is unset in a local session, as in tests, a temporary one that is then set.
+
+    On a cluster an unset folder raises: executors don't share the driver's disk.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="lodestrata-")
         spark.sparkContext.setCheckpointDir(folder)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str = "step") -> DataFrame:
+#: Paths written in the open scopes, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """What `written` writes within goes at the end, but for frames kept; results must have been written, or taken, by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        path_of = spark._jvm.org.apache.hadoop.fs.Path
+        for path in _SCOPES.pop():
+            p = path_of(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def written(df: DataFrame, name: str = "step", keep: bool = False) -> DataFrame:
     """df, written once as Parquet in the shared folder and read again.
 
     Cuts the lineage so that later steps survive lost executors without
     running the earlier ones again, and so that several readers share one run.
+    Within a `scope` the folder goes with it, unless it is to be kept.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/written/{name}-{uuid.uuid4().hex}"
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

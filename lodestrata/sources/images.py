@@ -67,6 +67,8 @@ def _chunks(raw: bytes):
         at += 12 + n
 
 
+#: Bytes of image data inflated at a time.
+INFLATED = 1 << 20
 # Bits a pixel by colour type, and the passes of interlaced images (x0, y0, dx, dy).
 _CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
 _DEPTHS = {0: (1, 2, 4, 8, 16), 2: (8, 16), 3: (1, 2, 4, 8), 4: (8, 16), 6: (8, 16)}
@@ -78,7 +80,7 @@ def read_png(raw: bytes) -> list[Row]:
     rows: list[Row] = []
     seen: list[str] = []
     data = zlib.decompressobj()
-    head, got, line, lines = None, 0, b"", []
+    head, line, lines = None, b"", []
     for kind, body in _chunks(raw):
         if not seen and kind != "IHDR":
             raise Refused("header_not_first")
@@ -98,31 +100,37 @@ def read_png(raw: bytes) -> list[Row]:
                     lines.append((1 + (pw * depth * _CHANNELS[colour] + 7) // 8, ph))
             rows.append(("/", "image", f"{w}x{h}, depth {depth}, colour type {colour}" + ", interlaced" * bool(interlace)))
         elif kind == "PLTE":
-            if "IDAT" in seen or "PLTE" in seen or len(body) % 3 or not 3 <= len(body) <= 768 or head[3] in (0, 4):
+            if "IDAT" in seen or "PLTE" in seen or len(body) % 3 or not 3 <= len(body) <= 768 or head[3] in (0, 4) or (head[3] == 3 and len(body) // 3 > 1 << head[2]):
                 raise Refused("bad_palette")
         elif kind == "IDAT":
             if "IDAT" in seen and seen[-1] != "IDAT":
                 raise Refused("image_data_not_together")
             if head[3] == 3 and "PLTE" not in seen:
                 raise Refused("no_palette")
-            try:
-                out = line + data.decompress(body)
-            except zlib.error:
-                raise Refused("bad_image_data") from None
-            while lines and len(out) >= lines[0][0]:
-                size, left = lines[0]
-                if out[0] > 4:
-                    raise Refused("bad_filter")
-                out, got = out[size:], got + 1
-                lines[0] = (size, left - 1)
-                if left == 1:
-                    lines.pop(0)
-            line = out
-            if not lines and line:
-                raise Refused("too_much_image_data")
+            while body:  # a piece at a time: what it inflates to is known beforehand, and no more is made
+                try:
+                    out, at = line + data.decompress(body, INFLATED), 0
+                except zlib.error:
+                    raise Refused("bad_image_data") from None
+                body = data.unconsumed_tail
+                while lines and len(out) - at >= lines[0][0]:
+                    size, left = lines[0]
+                    if out[at] > 4:
+                        raise Refused("bad_filter")
+                    at += size
+                    lines[0] = (size, left - 1)
+                    if left == 1:
+                        lines.pop(0)
+                line = out[at:]
+                if not lines and line:
+                    raise Refused("too_much_image_data")
+            if data.unused_data:
+                raise Refused("data_after_image")
         elif kind == "tEXt":
             key, _, value = body.partition(b"\0")
             rows.append((f"/tEXt={key.decode('latin-1')}", "image_text", value.decode("latin-1")))
+        elif kind[0].isupper() and kind != "IEND":
+            raise Refused("unknown_critical_chunk")
         seen.append(kind)
     if seen[-1:] != ["IEND"] or "IDAT" not in seen:
         raise Refused("incomplete")

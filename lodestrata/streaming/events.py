@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.session import shared_dir
+from lodestrata.sources.sinks import _fs
 
 
 def stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
@@ -63,18 +64,30 @@ def replayed(spark: SparkSession, path: str, plan: Callable[[DataFrame], DataFra
     return spark.read.schema(frame.schema).parquet(f"{out}/result/all" if mode == "complete" else f"{out}/result/*")
 
 
-def latest_by_batches(spark: SparkSession, path: str) -> DataFrame:
-    """event_type, n and last id, merged batch by batch into a table of which each epoch writes a version."""
-    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    last: list[str] = []
+def latest_by_batches(spark: SparkSession, path: str, out: str | None = None) -> DataFrame:
+    """event_type, n and last id, merged batch by batch into a table of which each epoch writes a version.
+
+    The last version is found in the store, not remembered, so that a stream
+    that starts again from its checkpoint in `out` goes on from it; an epoch
+    that runs again builds on the version before its own.
+    """
+    out = out or f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+    def version(below: int | None = None) -> str | None:
+        fs, p = _fs(spark, f"{out}/versions")
+        if not fs.exists(p):
+            return None
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        known = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and fs.exists(_fs(spark, f"{out}/versions/{n}/_SUCCESS")[1])]
+        known = [n for n in known if below is None or n < below]
+        return f"{out}/versions/v{max(known)}" if known else None
 
     def put(batch: DataFrame, number: int) -> None:
         new = batch.groupBy("event_type").agg(F.count("*").alias("n"), F.max("event_id").alias("last"))
-        if last:
-            new = new.unionByName(spark.read.parquet(last[-1])).groupBy("event_type").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
-        new.write.mode("overwrite").parquet(f"{out}/v{number}")
-        last.append(f"{out}/v{number}")
+        if last := version(number):
+            new = new.unionByName(spark.read.parquet(last)).groupBy("event_type").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+        new.write.mode("overwrite").parquet(f"{out}/versions/v{number}")
 
     q = stream(spark, path).writeStream.foreachBatch(put).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(last[-1])
+    return spark.read.parquet(version())

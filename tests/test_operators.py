@@ -215,6 +215,15 @@ def routed(spark):
     t["publications"] = spark.createDataFrame([(0, "run1", 1, "2026-01-01", None), (1, "run2", 2, "2026-01-02", None)], "ordinal int, run_id string, sequence int, created_at string, rollback_reason string")
     t["reviews"] = spark.createDataFrame([("run1", "approve", "Ada", "2026-01-02", "2026-01-01", ["REQ-001", "UNC-001"], {"a": True})], "run_id string, decision string, reviewer string, reviewed_at string, created_at string, approved array<string>, checks map<string,boolean>")
     t["investigations"] = spark.createDataFrame([], "record_id string, scope array<string>, present boolean")
+    t["manual_mentions"] = spark.createDataFrame([("MM1", "E1", "S1", "rep1", 1, 1, "one", "orion")], "mention_id string, evidence_id string, segment_id string, representation_sha256 string, start int, end int, quote string, target string")
+    t["segment_hashes"] = spark.createDataFrame([("S1", "rep1")], "segment_id string, representation_sha256 string")
+    t["report_digests"] = spark.createDataFrame([("registry", "d1", "d1"), ("mentions", "d2", "d2")], "name string, expected string, found string")
+    t["proposal"] = spark.createDataFrame([("home", "run1", "1.1", "0.6", "1.1", "home", "run1")], "project_id string, run_id string, schema_version string, records_schema_version string, registry_version string, run_project_id string, run_run_id string")
+    t["intake"] = spark.createDataFrame([("I1", "I1", "far", "home", "f", None, "current", "2026-01-01", "r1"), ("I2", "I2", "far", "home", "f", "I1", "current", "2026-01-01", "r1")], "item_id string, expected_id string, origin_project string, target_project string, family string, supersedes string, source_status string, first_seen string, origin_review_sha256 string").withColumn("first_seen", F.to_timestamp("first_seen"))
+    t["observations"] = spark.createDataFrame([("I1", 0, "stale"), ("I1", 1, "current"), ("I2", 0, "current")], "item_id string, ordinal int, status string")
+    t["decisions"] = spark.createDataFrame([("I1", 0, "defer", "Ada", "later", "2026-01-02", "r1", None), ("I1", 1, "accept", "Ada", "now", "2026-01-03", "r1", "full_file")], "item_id string, ordinal int, decision string, reviewer string, reason string, reviewed_at string, origin_review_sha256 string, capture_mode string").withColumn("reviewed_at", F.to_timestamp("reviewed_at"))
+    t["tasks"] = spark.createDataFrame([("I1", "proposed_capture_reconciliation")], "item_id string, status string")
+    t["requests"] = spark.createDataFrame([("Q1", "E1", 1, 2)], "request_id string, evidence_id string, start int, end int")
     return t
 
 
@@ -223,6 +232,11 @@ ROUTING = [
     ("assessments", {"mention_id": "'M9'"}, "V35_one_assessment_each"), ("mentions", {"segment_ids": "array()"}, "V37_mentions_have_segments"), ("assessments", {"homes": "array('REQ-9')"}, "V38_homes_exist"), ("assessments", {"class": "'R2'"}, "V39_to_V42_classes"), ("assessments", {"disposition": "'dismissed'"}, "V39_to_V42_classes"), ("disclosures", {"path_pattern": "'b/**'"}, "V43_home_links_are_granted"), ("disclosures", {"path_pattern": "'b/**'"}, "V48_referral_target"),
     ("referrals", {"class": "'R4'"}, "V44_referrals_agree"), ("referrals", {"start": "2"}, "V45_referral_covers_its_mention"), ("referrals", {"quote": "'x'"}, "V46_referral_quotes"), ("selected", {"end": "1"}, "V47_referral_in_selection"), ("coverage", {"disposition": "'deferred'"}, "V47_referral_was_read"), ("interval_coverage", {"disposition": "'triaged_out'"}, "V47_referral_was_read"), ("referrals", {"include_pattern": "'**'"}, "V48_referral_target"), ("referrals", {"target": "'far'"}, "V48_referral_target"),
     ("assessments", {"disposition": "'linked_home'"}, "V49_only_referred_have_referrals"), ("assessments", {"class": "'R2'"}, "V50_target_only_is_not_cited"), ("assessments", {"homes": "array('UNC-001')"}, "V51_homes_hold_the_mention"), ("assessments", {"disposition": "'linked_home'"}, "V51_every_referral_is_used"), ("links", {"target": "'far'"}, "V52_links_agree"), ("records", {"kind": "'investigation'"}, "V19_investigations"),
+    ("report_digests", {"found": "null"}, "V31_registry_and_scan"), ("proposal", {"registry_version": "'1.0'"}, "V31_registry_and_scan"), ("proposal", {"run_id": "'run9'"}, "V32_referrals_belong_to_the_run"), ("proposal", {"schema_version": "'1.0'"}, "V32_referrals_belong_to_the_run"),
+    ("manual_mentions", {"quote": "'x'"}, "V34_manual_references"), ("manual_mentions", {"representation_sha256": "'x'"}, "V34_manual_references"), ("manual_mentions", {"end": "9"}, "V34_manual_references"), ("manual_mentions", {"target": "'far'"}, "V34_manual_references"), ("manual_mentions", {"target": "'home'"}, "V34_manual_references"), ("manual_mentions", {"mention_id": "'M1'"}, "V34_manual_references"), ("selected", {"start": "2"}, "V34_manual_references_selected"),
+    ("intake", {"expected_id": "'I9'"}, "V53_intake_identities"), ("intake", {"origin_project": "'home'"}, "V53_intake_identities"), ("intake", {"source_status": "'stale'"}, "V53_intake_status_is_the_last_observed"), ("observations", {"ordinal": "-ordinal"}, "V53_intake_status_is_the_last_observed"),
+    ("decisions", {"reviewer": "' '"}, "V53_intake_decisions"), ("decisions", {"reviewed_at": "timestamp'2025-01-01'"}, "V53_intake_decisions"), ("decisions", {"reviewed_at": "timestamp'2999-01-01'"}, "V53_intake_decisions"), ("decisions", {"capture_mode": "'full_file'"}, "V53_intake_decisions"), ("decisions", {"ordinal": "-ordinal"}, "V53_intake_decisions"), ("tasks", {"status": "'x'"}, "V53_intake_tasks"), ("decisions", {"decision": "'defer'"}, "V53_intake_tasks"), ("intake", {"supersedes": "'I9'"}, "V53_intake_lineage"), ("intake", {"supersedes": "item_id"}, "V53_intake_lineage"), ("intake", {"family": "item_id"}, "V53_intake_lineage"),
+    ("requests", {"end": "3"}, "V56_requests"), ("requests", {"evidence_id": "'E9'"}, "V56_requests"), ("projects", {"id": "'other'"}, "V61_target_is_registered"),
 ]
 
 
@@ -238,3 +252,74 @@ def test_routing_mutations_are_found(spark, name, change, want):
     t = routed(spark)
     t[name] = t[name].withColumns({k: F.expr(v) for k, v in change.items()})
     assert want in {r.rule for r in rules.violations(t, [want]).collect()}
+
+
+def test_too_many_references(spark, monkeypatch):
+    from lodestrata.operators import referrals
+
+    monkeypatch.setattr(referrals, "MOST", 1)
+    assert rules.violations(routed(spark), ["V33_references_in_number"]).count() == 1
+
+
+def test_index(spark):
+    from lodestrata.operators import index
+
+    projects = spark.createDataFrame([("a", "r2"), ("b", "r1")], "project_id string, current_run_id string")
+    releases = spark.createDataFrame([("a", "r1"), ("a", "r2"), ("b", "r1"), ("c", "r1")], "project_id string, run_id string")
+    records = spark.createDataFrame([("a", "r1", "X", "decision", "observed"), ("a", "r2", "X", "decision", "observed"), ("b", "r1", "Y", "requirement", "proposal"), ("c", "r1", "Z", "decision", "observed")], "project_id string, run_id string, record_id string, kind string, epistemic_status string")
+    whole, now = index.build(projects, releases, records, True), index.build(projects, releases, records)
+    assert sorted((r.key, r.visibility) for r in whole["entries"].collect()) == [("a:r1:X", "historical"), ("a:r2:X", "current"), ("b:r1:Y", "current")]
+    assert sorted(r.key for r in now["entries"].collect()) == ["a:r2:X", "b:r1:Y"]
+    assert index.generation(whole) == index.generation({k: v.repartition(3) for k, v in whole.items()}) != index.generation(now)
+    assert [r.key for r in index.eligible(whole["entries"], "all", "a", "decision").orderBy("key").collect()] == ["a:r1:X", "a:r2:X"]
+    for wrong in ({"view": "old"}, {"kind": "x"}, {"status": "x"}, {"view": "historical", "include_history": False}, {"project_id": "c", "projects": projects}):
+        with pytest.raises(ValueError):
+            index.eligible(whole["entries"], **wrong)
+    with pytest.raises(ValueError, match="no current approved release"):
+        index.build(projects, releases.where("run_id <> 'r2'"), records)
+    with pytest.raises(ValueError):
+        index.build(projects, releases, records, most_entries=1)
+    assert {r.project_id: (r.releases, r.entries, r.current_entries) for r in index.summary(whole).collect()} == {"a": (2, 2, 1), "b": (1, 1, 1)}
+
+
+def test_reanchored_proposal(spark):
+    from lodestrata.operators import reanchor
+
+    records = spark.createDataFrame([("A", ["a0", "a1", "a2"]), ("B", ["b0"]), ("C", ["c0"])], "record_id string, citations array<string>")
+    kept = spark.createDataFrame([("a0",), ("a2",), ("c0",), ("f1",)], "citation_id string")
+    events = spark.createDataFrame([("A", "E1", [0, 2]), ("A", "E2", [1]), ("B", "E3", [0])], "record_id string, event_id string, refs array<int>")
+    relations = spark.createDataFrame([("A", "refines", "B"), ("A", "refines", "C"), ("B", "refines", "A")], "src string, type string, dst string")
+    got = reanchor.proposal(records, kept, events, relations)
+    assert [(r.record_id, r.citations, r.lost) for r in got["records"].orderBy("record_id").collect()] == [("A", ["a0", "a2"], 1), ("C", ["c0"], 0)]
+    assert [r.record_id for r in got["dropped"].collect()] == ["B"]
+    assert [(r.event_id, r.refs) for r in got["events"].collect()] == [("E1", [0, 1])]
+    assert [(r.src, r.dst) for r in got["relations"].collect()] == [("A", "C")]
+    assert sorted((r.code, r.subject) for r in got["questions"].collect()) == [("lost_citations", "1"), ("lost_event", "E2"), ("lost_relation", "refines:B")]
+    findings = spark.createDataFrame([("C", 0, ["f0"]), ("C", 1, ["f0", "f1"]), ("A", 0, ["f0"])], "record_id string, finding int, citations array<string>")
+    got = reanchor.proposal(records, kept, events, relations, findings)
+    assert [(r.record_id, r.lost) for r in got["records"].collect()] == [("C", 2)] and [(r.record_id, r.finding) for r in got["findings"].collect()] == [("C", 1)]
+    files = lambda *x: spark.createDataFrame(x, "logical_id string, evidence_id string, text_sha256 string, representation_sha256 string")
+    old, new = files(("f", "o1", "t", None), ("g", "o2", "t", None), ("h", "o3", "t", None)), files(("f", "n1", "t", None), ("g", "n2", "u", None), ("h", "n3", "t", None), ("i", "n4", "t", None))
+    declared = spark.createDataFrame([("o1", "triaged_out", "m"), ("o2", "reviewed_no_record", None), ("o3", "used", None)], "evidence_id string, disposition string, method string")
+    cited = spark.createDataFrame([("n4",)], "evidence_id string")
+    said = lambda approved: {r.evidence_id: (r.disposition, r.method, r.why) for r in reanchor.coverage(new, old, declared, cited, approved).collect()}
+    assert said(True) == {"n1": ("triaged_out", "m", "carried_over"), "n2": ("deferred", None, "new_or_changed"), "n3": ("deferred", None, "new_or_changed"), "n4": ("used", None, "cited")}
+    assert said(False)["n1"] == ("deferred", None, "not_approved")
+
+
+def test_captures_and_links(spark):
+    from lodestrata.operators import referrals
+
+    a = spark.createDataFrame([("1", "full_file", "accept", "y", "h", "h", "h", None, "q"), ("2", "full_file", "accept", "y", "h", "h", "o", None, "q"), ("3", "scoped_export", "accept", "y", "h", "h", "h", "q", "q"), ("4", "scoped_export", "accept", "y", "h", "h", "o", "a\nq\nb", "q"), ("5", "scoped_export", "accept", "y", "h", "h", "o", "aq", "q"), ("6", "scoped_export", "accept", "y", "h", "h", "o", None, "q"), ("7", "full_file", "accept", " ", "h", "h", "h", None, "q"), ("8", "full_file", "accept", "y", "h", "g", "g", None, "q")], "item_id string, mode string, decision string, reason string, stated_sha256 string, actual_sha256 string, origin_sha256 string, text string, quote string")
+    assert [r.verdict for r in referrals.captures(a).orderBy("item_id").collect()] == ["ok", "not_the_original", "whole_file_as_export", "ok", "quote_not_kept", "not_text", "not_accepted", "bytes_changed"]
+
+
+def test_preceding_headings_and_pages(spark):
+    from lodestrata.operators import quotes, views
+
+    rows = spark.createDataFrame([("p", 1, "H1"), ("p", 2, None), ("p", 3, "H2"), ("p", 4, None), ("q", 1, None)], "page string, pos int, h string")
+    assert [r.above for r in quotes.preceding(rows, ["page"], "pos", "h", "above").orderBy("page", "pos").collect()] == [None, "H1", "H1", "H2", None]
+    many = spark.createDataFrame([("k", i, f"l{i}") for i in range(25)] + [("j", 0, "x")], "kind string, o int, l string")
+    got = views.pages(many, ["kind"], "o", F.col("l"), size=10).collect()
+    assert sorted((r.kind, r.page, r.text.count("\n") + 1) for r in got) == [("j", 1, 1), ("k", 1, 10), ("k", 2, 10), ("k", 3, 5)]
+    assert "\n".join(r.text for r in sorted(got, key=lambda r: r.page) if r.kind == "k") == "\n".join(f"l{i}" for i in range(25))

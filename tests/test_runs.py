@@ -56,3 +56,28 @@ def test_assertion_views(spark):
     assert sorted((r.src, r.dst) for r in v["cycles"].collect()) == [("a", "b"), ("b", "a")]
     assert [(r.lo, r.hi, r.types) for r in v["opposing"].collect()] == [("a", "b", ["equivalent_to", "supersedes"])]
     assert {r.target_state for r in v["targets"].where("target = 'gone'").collect()} == {"unavailable"}
+
+
+def test_scopes_delete_what_is_not_kept(spark):
+    import os
+
+    from lodestrata.session import scope, shared_dir, written
+
+    folder = shared_dir(spark).removeprefix("file://") + "/written"
+    numbers = spark.range(5)
+    with scope(spark):
+        kept = written(numbers, "kept", keep=True)
+        written(numbers, "scratch")
+        assert any(n.startswith("scratch-") for n in os.listdir(folder))
+    assert not any(n.startswith("scratch-") for n in os.listdir(folder)) and kept.count() == 5
+
+
+def test_a_stream_goes_on_from_its_last_version(spark, tmp_path):
+    from lodestrata.streaming.events import latest_by_batches
+
+    rows = lambda a, b: spark.range(a, b).select(F.col("id").alias("event_id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"), (F.col("id") % 3).alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit("{}").alias("props"))
+    source, out = f"{tmp_path}/events", f"{tmp_path}/out"
+    rows(0, 10).coalesce(1).write.mode("append").parquet(source)
+    assert [(r.n, r.last) for r in latest_by_batches(spark, source, out).collect()] == [(10, 9)]
+    rows(10, 14).coalesce(1).write.mode("append").parquet(source)
+    assert [(r.n, r.last) for r in latest_by_batches(spark, source, out).collect()] == [(14, 13)]

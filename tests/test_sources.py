@@ -170,3 +170,22 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(Exception):
         sinks.commit({"a": df, "b": df.select(F.raise_error(F.lit("no")))}, root, "broken")
     assert not sinks.exists(spark, root + "/broken") and not list((tmp_path / "kb").glob(".tmp-*"))
+
+
+def test_images_and_markup_that_would_grow_are_refused():
+    import struct
+    import zlib
+
+    from lodestrata.sources import images, office
+
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    head = lambda w, h: b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0))
+    good = zlib.compress(b"\0" + b"x" * 4)
+    assert images.read_png(head(4, 1) + chunk(b"IDAT", good) + chunk(b"IEND", b""))
+    for bad in (head(4, 1) + chunk(b"IDAT", zlib.compress(b"\0" * 50_000_000)), head(4, 1) + chunk(b"IDAT", good + b"more"), head(4, 1) + chunk(b"ABCD", b"") + chunk(b"IDAT", good)):
+        with pytest.raises(images.Refused):
+            images.read_png(bad + chunk(b"IEND", b""))
+    for raw in (b"<!DOCTYPE a><a/>", '<?xml version="1.0" encoding="utf-16"?><!DOCTYPE a [<!ENTITY x "y">]><a>&x;</a>'.encode("utf-16"), b" " * 70_000 + b"<!DOCTYPE a><a/>"):
+        with pytest.raises(office.Refused):
+            office.xml(raw)
+    assert office.xml(b"<a><b/></a>").tag == "a"
