@@ -89,18 +89,19 @@ def numbered(df: DataFrame, groups: list[str], order: list[str], into: str = "sl
     (groups, order), each partition numbers its own, and offsets come from one
     count a partition and group. The frame is written once on the way.
     """
-    pid, row, n, first = "__pid", "__row", "__n", "__first"
+    pid, row, n, first, other, before_ = fresh(df, "__pid", "__row", "__n", "__first", "__p", "__before")
+    g_ = fresh(df, *[f"__g{i}" for i in range(len(groups))])
     keys = [*groups, *order]
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     t = written(ranged.withColumn(pid, F.spark_partition_id()).withColumn(row, F.monotonically_increasing_id()), "numbered")
     counts = t.groupBy(*groups, pid).agg(F.count("*").alias(n), F.min(row).alias(first))
     before = Window.partitionBy(*groups).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)], F.col(pid).alias("__p"), first, F.coalesce(F.sum(n).over(before), F.lit(0)).alias("__before"))
-    same = F.col(pid) == F.col("__p")
-    for i, g in enumerate(groups):
-        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    starts = counts.select(*[F.col(g).alias(x) for x, g in zip(g_, groups, strict=True)], F.col(pid).alias(other), first, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(before_))
+    same = F.col(pid) == F.col(other)
+    for x, g in zip(g_, groups, strict=True):
+        same = same & F.col(g).eqNullSafe(F.col(x))
     joined = t.join(starts, same)
-    return joined.select(*df.columns, (F.col(row) - F.col(first) + F.col("__before")).alias(into))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(row) - F.col(first) + F.col(before_)).alias(into))
 
 
 def hashed_share(h: Column, rows: int, total: int) -> Column:
@@ -144,3 +145,15 @@ def likely(df: DataFrame, key: Column, keys: DataFrame, into: str) -> DataFrame:
     joined = out.join(F.broadcast(words), F.shiftright(F.col(at), 6) == F.col(word), "left")  # at most 2^(LIKELY_BITS - 6) rows
     there = F.call_function("shiftright", F.coalesce(F.col(mask), F.lit(0).cast("long")), F.col(at).bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(there, F.lit(False)).alias(into))
+
+
+def bit_set(keys: DataFrame) -> bytes:
+    """The same set as bytes for Python workers: bit h mod 2^LIKELY_BITS for each hash in the one column of keys."""
+    import numpy as np
+
+    bit = F.pmod(F.col(keys.columns[0]), F.lit(1 << LIKELY_BITS))
+    word = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
+    out = np.zeros(1 << (LIKELY_BITS - 6), np.int64)
+    for at, mask in keys.select(F.shiftright(bit, 6).alias("at"), word.alias("m")).groupBy("at").agg(F.bit_or("m")).collect():  # at most 2^(LIKELY_BITS - 6) rows
+        out[at] = mask
+    return out.tobytes()

@@ -68,25 +68,62 @@ def test_counts_against_brute_force(spark):
     rows = [x for x in corpus() if x[0] is not None]
     import math
 
-    spans = {i: pii.base_spans(t or "") for i, (_, t) in enumerate(rows)}
-    near, of_e, of_t = {}, {}, {}
-    for i, (_, t) in enumerate(rows):
-        for w in {w.strip(pii.STRIP) for w in (t or "").lower().split()}:
-            of_t.setdefault(w, set()).add(i)
-        for e, w, a, b, around in pii.mentions(t or "", spans[i]):
-            near.setdefault((e, w), []).append((i, around, a, b))
-            of_e.setdefault(e, set()).add(i)
-    want = set()
-    for (e, w), at in near.items():
-        docs = {i for i, *_ in at}
-        if len({x[1] for x in at}) >= 3 and len(of_e[e]) < len(rows):
-            d = math.log2(len(rows) * len(docs) / (len(of_t[w]) * len(of_e[e]))) / math.log2(len(rows) / len(of_e[e]))
-            if d >= 0.75:
-                want |= {(rows[i][0], a, b) for i, _, a, b in at}
-    got = {(x.doc_id, int(m.split(":")[1]), int(m.split(":")[2])) for x in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect() for m in x.spans.split(",") if m and m.split(":")[0] not in pii.KINDS}
+    texts = [t or "" for _, t in rows]
+    spans = [pii.base_spans(t) for t in texts]
+    terms = [[x for x in pii.places(t) if not any(x[1] < e and s < x[2] for s, _, e in own)] for t, own in zip(texts, spans, strict=True)]
+    everywhere = [{w for w, _, _ in pii.places(t)} for t in texts]
+    of_e = {}
+    for i, own in enumerate(spans):
+        for s, k, e in own:
+            of_e.setdefault((k, texts[i][s:e].lower()), set()).add(i)
+
+    def differ(docs):
+        n = len({pii.event(texts[i]) % 64 for i in docs})
+        return n >= 3 and (n >= 32 or 4 * n >= len(docs))
+
+    worst = {}
+    for docs in of_e.values():
+        ic = math.log2(len(rows) / len(docs))
+        if differ(docs) and ic >= 3:
+            for w in {w for i in docs for w, _, _ in terms[i]}:
+                both = {i for i in docs if any(x[0] == w for x in terms[i])}
+                if differ(both):
+                    d = math.log2(len(rows) * len(both) / (sum(w in x for x in everywhere) * len(docs))) / ic
+                    worst[w] = max(worst.get(w, 0), d)
+    want = {(rows[i][0], a, b, "term" if worst[w] >= 0.95 else "broad") for i, x in enumerate(terms) for w, a, b in x if worst.get(w, 0) >= 0.75}
+    got = {(x.doc_id, int(m.split(":")[1]), int(m.split(":")[2]), m.split(":")[0]) for x in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect() for m in x.spans.split(",") if m and m.split(":")[0] not in pii.KINDS}
     assert got == want and want
 
 
+def test_planted_terms_are_found_everywhere(spark):
+    """Names that go with an address, near it, far from it and without it; with copies and near copies that must teach nothing."""
+    r = random.Random(8)
+    words = [f"wort{i}" for i in range(4000)]
+    say = lambda n: " ".join(r.choice(words) for _ in range(n))
+    rows, planted = [], []
+    for p in range(30):
+        for _ in range(4):
+            rows.append((len(rows), f"{say(40)} Name{p}x {say(r.randrange(60))} person{p}@example.org {say(60)}"))
+            planted.append((rows[-1][0], f"Name{p}x"))
+        if p % 10 == 0:
+            rows.append((len(rows), f"{say(50)}, name{p}X: {say(50)}"))
+            planted.append((rows[-1][0], f"name{p}X"))
+    copied = f"{say(80)} copied@example.org {say(80)}"
+    rows += [(len(rows) + i, copied) for i in range(50)]
+    near = copied.replace("copied@", "near@").split()
+    for _ in range(60):
+        w = list(near)
+        for _ in range(3):
+            w[r.randrange(len(w))] = r.choice(words)
+        rows.append((len(rows), " ".join(w if "near@example.org" in w else near)))
+    rows += [(len(rows) + i, say(100)) for i in range(600)]
+    found = {x.doc_id: x.spans for x in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    marked = {(d, texts[d][int(m.split(":")[1]) : int(m.split(":")[2])]) for d, s in found.items() for m in s.split(",") if m.startswith(("term", "broad"))}
+    assert marked >= set(planted)
+    assert len({w.lower() for _, w in marked}) <= 30 + 6  # hardly a word of the copies
+
+
 def test_empty_table(spark):
     assert pii.spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
