@@ -1,48 +1,57 @@
 """SimHash fingerprints and near-duplicate groups by covering locality-sensitive hashing.
 
-Covering: the 64 bit positions get vectors of r + 1 bits, and for each nonzero
+Covering: the bit positions get vectors of r + 1 bits, and for each nonzero
 vector v of r + 1 bits a table is keyed by the fingerprint's bits at the
 positions whose vector has an odd product with v. The at most r positions in
 which two fingerprints differ have vectors that span at most r dimensions, so
 some v has an even product with all of them, and its table ignores all of
 these positions: every pair within r collides in one of the 2^(r+1) - 1
-tables, for certain.
-
-Equal fingerprints are one node. In a bucket, fingerprints are compared in
-numpy blocks and only the links of a spanning forest leave it. A bucket of
-more than `brute` fingerprints is not compared pair by pair: its members go
-through a meeting in the middle, in which each offers all words within r/2
-bits of itself and those that share a word w are at most r apart; this is as
-exact and takes a fixed number of rows a fingerprint.
+tables, for certain. A fingerprint in parts has such tables for each part: of
+p parts, one has at most r of p (r + 1) - 1 differing bits.
+
+Equal fingerprints are one node. Rows of a table are sorted by bucket and
+compared bucket by bucket in numpy; only the links of a forest leave a bucket
+that joins the nearest first. A bucket of more than `brute` nodes is dealt into
+blocks, and each two blocks are compared like a bucket, in tasks of their own,
+so that no task holds a large bucket and no pair of its nodes is left out.
+
+`components` and `representatives` link fingerprints of shingles within the
+radius. `near_representatives` decides by the similarity of the sets of
+shingles: word edits that change a fifth of the shingles of five words leave
+most single words, so that candidates come from 128-bit fingerprints of the
+distinct words, in three parts of radius 4, that is, at up to 14 differing
+bits; each link is then held to the texts' exact similarity.
 
 Cases: a text without words has fingerprint zero and links like any other;
 null texts count as empty; a text of fewer words than a shingle is one
 shingle; a null doc_id is kept and never names a component unless it is all
 there is; repeated rows fall in one component; an empty table gives no rows;
-further columns are ignored by `fingerprints` and carried by `representatives`.
+further columns, whatever their names, are ignored by `fingerprints` and
+carried by `representatives` and `near_representatives`.
 """
 
 from __future__ import annotations
 
-import itertools
 import random
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import arrow_schema, in_batches, table, text_column
+from lodestrata.llm.common import arrow_schema, fresh, in_batches, likely, small_batches, table, text_column
 from lodestrata.operators.graph import connected_components
 from lodestrata.session import written
 
 BITS = 64
-#: Buckets of more fingerprints than this go through the meeting in the middle.
+#: Buckets of more nodes than this are compared in blocks of half as many.
 BRUTE = 4_096
+#: Buckets of up to so many nodes are compared many at a time.
+SMALL = 48
 #: Shingles counted at a time.
 CHUNK = 65_536
 
-LINKS, LINKS_ARROW = arrow_schema(a="long", b="long")
 
 
 def fingerprint(text: str, width: int = 4, seed: int = 42) -> int:
@@ -78,118 +87,327 @@ def covering_masks(radius: int, seed: int = 20_15) -> list[int]:
     about half of the bits. Positions with the zero vector would be in no
     mask; there are none.
     """
-    vectors = list(range(1, 1 << (radius + 1)))
-    dealt = [vectors[i % len(vectors)] for i in range(BITS)]
-    random.Random(seed).shuffle(dealt)
-    masks = [sum(1 << i for i, m in enumerate(dealt) if (m & v).bit_count() & 1) for v in vectors]
-    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
-
-
-def _forest(prints: np.ndarray, radius: int, block: int = 1024) -> list[tuple[int, int]]:
-    """Links within the radius, as many as join what they connect and no more; prints are distinct."""
-    n = len(prints)
-    root = np.arange(n)
-    links: list[tuple[int, int]] = []
-    for i in range(0, n, block):
-        for j in range(i, n, block):
-            near = np.bitwise_count(prints[i : i + block, None] ^ prints[None, j : j + block]) <= radius
-            for x, y in zip(*np.nonzero(near), strict=True):
-                x, y = int(x) + i, int(y) + j
-                if x < y:
-                    while root[x] != x:
-                        root[x] = root[root[x]]
-                        x = int(root[x])
-                    while root[y] != y:
-                        root[y] = root[root[y]]
-                        y = int(root[y])
-                    if x != y:
-                        root[max(x, y)] = min(x, y)
-                        links.append((int(prints[min(x, y)].view(np.int64)), int(prints[max(x, y)].view(np.int64))))
-    return links
-
-
-def links(prints: DataFrame, radius: int = 4, brute: int = BRUTE) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) whose components are those of all pairs within the radius."""
-    if radius % 2:
-        raise ValueError("the radius must be even: both ends of a pair reach half of it")
-    masks = covering_masks(radius)
-    tables = F.explode(F.array(*[F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(masks)]))
-    rows = prints.select("fp", tables.alias("x")).select("fp", F.xxhash64("x.t", "x.key").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    sizes = written(sizes, "buckets")
-    held = written(rows.join(sizes, "bucket"), "held")
-    small = held.where(F.col("n") <= brute).select("bucket", "fp")
-
-    def make():
-        state = {"bucket": None, "prints": []}
-
-        def flush():
-            got = _forest(np.unique(np.array(state["prints"], np.int64)).view(np.uint64), radius) if len(state["prints"]) > 1 else []
-            state["prints"] = []
-            return got
-
-        def step(batch: pa.RecordBatch | None):
-            out = []
-            if batch is None:
-                out = flush()
-            else:
-                for bucket, fp in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    if bucket != state["bucket"]:
-                        out += flush()
-                        state["bucket"] = bucket
-                    state["prints"].append(fp)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=LINKS_ARROW)
-
-        return step
-
-    def run(batches):
-        step = make()
-        for batch in itertools.chain(batches, [None]):
-            yield from step(batch)
-
-    in_batches(small, lambda: None, LINKS)
-    near = small.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, LINKS)
-    # Pairs that meet in a large bucket are both in `dense`.
-    dense = held.where(F.col("n") > brute).select("fp").distinct()
-    flips = [sum(1 << i for i in c) for k in range(radius // 2 + 1) for c in itertools.combinations(range(BITS), k)]
-    signed = [x - (1 << BITS) if x >> (BITS - 1) else x for x in flips]
-    words = dense.select("fp", F.explode(F.lit(signed)).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("w"))
-    hub = words.groupBy("w").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1").select("w", "hub")
-    far = words.join(hub, "w").where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
-    return near.unionByName(far)
+    return [mask[0] for mask in tables(BITS, 1, radius, seed)]
+
+
+def tables(bits: int, parts: int, radius: int, seed: int = 20_15) -> list[list[int]]:
+    """The masks of each part's tables, as signed longs, one for 64 bits of the fingerprint."""
+    out = []
+    for part in range(parts):
+        places = list(range(bits))[part * bits // parts : (part + 1) * bits // parts]
+        vectors = list(range(1, 1 << (radius + 1)))
+        dealt = [vectors[i % len(vectors)] for i in range(len(places))]
+        random.Random(seed + part).shuffle(dealt)
+        out += [_signed(sum(1 << p for p, m in zip(places, dealt, strict=True) if (m & v).bit_count() & 1), bits) for v in vectors]
+    return out
+
+
+def _signed(mask: int, bits: int) -> list[int]:
+    words = [mask >> k & (1 << 64) - 1 for k in range(0, bits, 64)]
+    return [w - (1 << 64) if w >> 63 else w for w in words]
+
+
+def _spanning(pairs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of (distance, x, y) those that join what is not joined yet, the nearest first."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := root.get(x, x)) != x:
+            root[x] = root.get(y, y)
+            x = root[x]
+        return x
+
+    out = []
+    for d, x, y in sorted(pairs):
+        x2, y2 = find(x), find(y)
+        if x2 != y2:
+            root[max(x2, y2)] = min(x2, y2)
+            out.append((d, x, y))
+    return out
+
+
+def _apart(f: np.ndarray, x, y) -> np.ndarray:
+    return np.bitwise_count(f[x] ^ f[y]).sum(axis=-1, dtype=np.int64)
+
+
+def _within(buckets: np.ndarray, f: np.ndarray, radius: int) -> list[tuple[int, int, int]]:
+    """The forests (distance, x, y: rows) of sorted buckets."""
+    edges = np.flatnonzero(np.diff(buckets)) + 1
+    starts = np.concatenate([[0], edges]).astype(np.int64)
+    sizes = np.diff(np.concatenate([starts, [len(buckets)]]))
+    out: list[tuple[int, int, int]] = []
+    few = sizes <= SMALL
+    ends = np.repeat(np.where(few, starts + sizes, 0), sizes)  # of each row's bucket, if it is small
+    rows = np.flatnonzero(ends > np.arange(len(buckets)) + 1)
+    pairs: list[tuple[int, int, int]] = []
+    for lag in range(1, SMALL):
+        rows = rows[ends[rows] > rows + lag]
+        if not len(rows):
+            break
+        d = _apart(f, rows, rows + lag)
+        near = d <= radius
+        pairs += zip(d[near].tolist(), rows[near].tolist(), (rows[near] + lag).tolist(), strict=True)
+    out += _spanning(pairs)  # rows of different buckets never meet
+    for start, size in zip(starts[~few].tolist(), sizes[~few].tolist(), strict=True):
+        out += _tree(f[start : start + size], radius, start)
+    return out
+
+
+def _tree(f: np.ndarray, radius: int, offset: int) -> list[tuple[int, int, int]]:
+    """The nearest-first forest of many nodes: each time the node nearest to those joined comes next."""
+    n = len(f)
+    left, best, to = np.arange(1, n), np.bitwise_count(f[1:] ^ f[0]).sum(axis=1, dtype=np.int64), np.zeros(n - 1, np.int64)
+    out = []
+    while len(left):
+        at = int(best.argmin())
+        d, x = int(best[at]), int(left[at])
+        if d <= radius:
+            out.append((d, offset + int(to[at]), offset + x))
+        keep = np.arange(len(left)) != at
+        left, best, to = left[keep], best[keep], to[keep]
+        now = np.bitwise_count(f[left] ^ f[x]).sum(axis=1, dtype=np.int64)
+        nearer = now < best
+        best[nearer], to[nearer] = now[nearer], x
+    return out
+
+
+def links(nodes: DataFrame, masks: list[list[int]], radius: int = 4, brute: int = BRUTE) -> DataFrame:
+    """Links (a, b, far: bits) between nodes (columns id, unique, and f0, f1 and so on: 64 bits each) whose components are those of all pairs within the radius."""
+    spark, words = nodes.sparkSession, len(masks[0])
+    fs = [f"f{w}" for w in range(words)]
+    schema, shape = arrow_schema(a="long", b="long", far="int", bucket="long", id="long", **dict.fromkeys(fs, "long"))
+
+    def handed_on(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(pa.nulls(batch.num_rows, f.type) for f in list(shape)[:3]), *batch.columns], schema=shape)
+
+    def compared(rows: DataFrame, most: int | None) -> DataFrame:
+        """Links of sorted buckets, and the rows of those of more than `most` nodes as they are."""
+
+        def make():
+            state: dict = {"bucket": None, "held": [], "n": 0, "over": False}
+
+            def flush(batch: pa.RecordBatch):
+                buckets = batch.column(0).to_numpy()
+                sizes = np.diff(np.concatenate([np.flatnonzero(np.diff(buckets, prepend=buckets[0] - 1)), [len(buckets)]]))
+                if sizes.max() == 1:
+                    return
+                if most and sizes.max() > most:
+                    crowd = np.repeat(sizes > most, sizes)
+                    yield handed_on(batch.filter(pa.array(crowd)))
+                    batch = batch.filter(pa.array(~crowd))
+                    if batch.num_rows < 2:
+                        return
+                f = np.stack([batch.column(2 + w).to_numpy() for w in range(words)], axis=1).view(np.uint64)
+                found = _within(batch.column(0).to_numpy(), f, radius)
+                if found:
+                    far, x, y = (np.array(c, np.int64) for c in zip(*found, strict=True))
+                    ids = batch.column(1).to_numpy()
+                    cols = [pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y])), pa.array(far.astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays([*cols, *(pa.nulls(len(far), t.type) for t in list(shape)[3:])], schema=shape)
+
+            def close():
+                if state["held"]:
+                    yield from flush(pa.Table.from_batches(state["held"]).combine_chunks().to_batches()[0])
+                state.update(held=[], n=0, over=False, bucket=None)
+
+            def more(part: pa.RecordBatch):
+                if state["over"]:
+                    yield handed_on(part)
+                    return
+                state["held"].append(part)
+                state["n"] += part.num_rows
+                if most and state["n"] > most:
+                    state["over"] = True
+                    yield from map(handed_on, state["held"])
+                    state["held"] = []
+
+            def step(batch: pa.RecordBatch | None):
+                if batch is None:
+                    yield from close()
+                    return
+                if not batch.num_rows:
+                    return
+                keys = batch.column(0).to_numpy()
+                if state["bucket"] == keys[0]:
+                    cut = int(np.searchsorted(keys, keys[0], "right"))
+                    yield from more(batch.slice(0, cut))
+                    batch, keys = batch.slice(cut), keys[cut:]
+                    if not len(keys):
+                        return
+                yield from close()
+                cut = int(np.searchsorted(keys, keys[-1]))
+                if cut:
+                    yield from flush(batch.slice(0, cut))
+                state["bucket"] = keys[-1]
+                yield from more(batch.slice(cut))
+
+            return step
+
+        dealt = rows.select("bucket", "id", *fs).repartition("bucket").sortWithinPartitions("bucket")
+        found = in_batches(dealt, make, schema, ends=True)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")  # small rows
+        out = written(found, "links")
+        small_batches(spark)
+        return out
+
+    keys = F.array(*[F.xxhash64(F.lit(k), *[F.col(f).bitwiseAND(F.lit(m)) for f, m in zip(fs, mask, strict=True)]) for k, mask in enumerate(masks)])
+    done = compared(nodes.select("id", *fs, F.explode(keys).alias("bucket")), brute)
+    out = done.where("a is not null").select("a", "b", "far")
+    dense = done.where("id is not null").select("bucket", "id", *fs)
+    if not dense.isEmpty():
+        counts = dense.groupBy("bucket").agg(F.ceil(F.count("*") / max(1, brute // 2)).cast("int").alias("blocks"))
+        mine = dense.join(written(counts, "blocks").hint("merge"), "bucket").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        other = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        pairs = other.select(F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("bucket"), "id", *fs)
+        out = out.unionByName(compared(pairs, None).select("a", "b", "far"))
+    return out.groupBy("a", "b").agg(F.min("far").alias("far")).where("a <> b")
 
 
 def _parts(t: DataFrame, radius: int, brute: int) -> DataFrame:
     """fp and part for each distinct fp of t: part is the smallest fp of its component."""
-    nodes = t.select("fp").distinct()
-    parts = written(connected_components(links(nodes, radius, brute)), "parts")
-    return nodes.join(parts, nodes["fp"] == parts["node"], "left").select("fp", F.coalesce("component", "fp").alias("part"))
+    nodes = written(t.select("fp").distinct(), "nodes")
+    found = links(nodes.select(F.col("fp").alias("id"), F.col("fp").alias("f0")), tables(BITS, 1, radius), radius, brute)
+    parts = written(connected_components(found), "parts").select(F.col("node").alias("fp"), F.col("component").alias("part"))
+    return nodes.join(parts.hint("merge"), "fp", "left").select("fp", F.coalesce("part", "fp").alias("part"))
 
 
 def components(docs: DataFrame, radius: int = 4, width: int = 4, brute: int = BRUTE) -> DataFrame:
     """doc_id, fp and component_id, the smallest doc_id reachable over links, for each row of docs."""
     t = written(fingerprints(docs, width), "prints")
     member = t.groupBy("fp").agg(F.min("doc_id").alias("least")).join(_parts(t, radius, brute), "fp")
-    least = member.groupBy("part").agg(F.min("least").alias("component_id"))
-    of = member.select("fp", "part").join(least, "part").select("fp", "component_id")
-    return t.join(of, "fp").select("doc_id", "fp", "component_id")
+    member = written(member, "members")
+    # Written, here and below, so that both sides of joins are plain exchanges, which Spark can split where a key is hot.
+    least = written(member.groupBy("part").agg(F.min("least").alias("component_id")), "least")
+    of = written(member.select("fp", "part").join(least.hint("merge"), "part").select("fp", "component_id"), "components")
+    return t.join(of.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
-def representatives(docs: DataFrame, radius: int = 4, width: int = 4, brute: int = BRUTE) -> DataFrame:
-    """The rows of docs that stay: of each component the one of the smallest doc_id, nulls last.
+def _row_key() -> Column:
+    return F.xxhash64(F.col("doc_id"), text_column())
+
+
+def _first_of(docs: DataFrame, member: DataFrame) -> DataFrame:
+    """The rows of docs that stay: of each part the one of the smallest doc_id, nulls last; member has k (of the row), doc_id and part for each row.
 
     Rows are known by doc_id and text; of rows that repeat both, one stays.
+    Only rows that may go, or repeat, meet what is known of them.
+    """
+    member = written(member, "members")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")
+    best = written(member.groupBy("part").agg(F.min(rank).alias("best"), F.count("*").alias("n")).where("n > 1").select("part", F.col("best.k").alias("best")), "best")
+    key, k, stays, may = fresh(docs, "__key", "__k", "__stays", "__may")
+    in_parts = member.join(best.hint("merge"), "part")
+    odd = written(in_parts.groupBy(F.col("k").alias(k)).agg(F.max(F.col("k") == F.col("best")).alias(stays), F.count("*").alias("n")).where(f"n > 1 or not `{stays}`").drop("n"), "odd")
+    marked = likely(docs.withColumn(key, _row_key()), F.col(key), odd.select(k), may)
+    met = marked.where(F.col(may)).join(odd.hint("merge"), F.col(key) == F.col(k), "left").select(*docs.columns, key, stays)
+    single = met.where(F.col(stays).isNull()).select(*docs.columns)
+    repeated = met.where(F.col(stays)).groupBy(key).agg(F.any_value(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])).alias("row"))
+    repeated = repeated.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return marked.where(~F.col(may)).select(*docs.columns).unionByName(single).unionByName(repeated)
+
+
+def representatives(docs: DataFrame, radius: int = 4, width: int = 4, brute: int = BRUTE) -> DataFrame:
+    """The rows of docs that stay: of each component of fingerprints within the radius the one of the smallest doc_id, nulls last."""
+    t = written(_keyed_prints(docs.select("doc_id", "text", _row_key().alias("k")), width), "prints")
+    return _first_of(docs, t.join(_parts(t, radius, brute).hint("merge"), "fp").select("k", "doc_id", "part"))
+
+
+CONTENT, CONTENT_ARROW = arrow_schema(doc_id="long", k="long", c="long", f0="long", f1="long")
+SHINGLES, SHINGLES_ARROW = arrow_schema(c="long", shingles="array<long>")
+
+
+def word_print(words: list[bytes]) -> tuple[int, int]:
+    """128 bits over the distinct words, as two signed longs."""
+    import xxhash
+
+    kinds = set(words)
+    if not kinds:
+        return 0, 0
+    ones, at = np.zeros(128, np.int64), list(kinds)
+    for k in range(0, len(at), CHUNK):
+        raw = b"".join(map(xxhash.xxh3_128_digest, at[k : k + CHUNK]))
+        bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 16), axis=1, bitorder="little")
+        for j in range(0, len(bits), 255):
+            ones += bits[j : j + 255].sum(axis=0, dtype=np.uint8)
+    f = np.packbits(2 * ones > len(kinds), bitorder="little").view(np.int64)
+    return int(f[0]), int(f[1])
+
+
+def shingles(text: str, width: int) -> list[int]:
+    """Hashes of a text's distinct shingles, as signed longs."""
+    import xxhash
+
+    words = text.encode().lower().split()
+    parts: Iterator[bytes] = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else iter([b" ".join(words)])
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64)).view(np.int64).tolist()
+
+
+def _contents(keyed: DataFrame) -> DataFrame:
+    """doc_id, k, c (a hash of the words in order) and the word fingerprint for each row."""
+
+    def make():
+        import xxhash
+
+        def step(batch: pa.RecordBatch):
+            rows = []
+            for t in batch.column(1).to_pylist():
+                words = (t or "").encode().lower().split()
+                rows.append((int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words), 7)).view(np.int64)), *word_print(words)))
+            c, f0, f1 = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(x, pa.int64()) for x in (c, f0, f1))], schema=CONTENT_ARROW)
+
+        return step
+
+    return in_batches(keyed, make, CONTENT)
+
+
+def _shingled(texts: DataFrame, width: int) -> DataFrame:
+    def make():
+        def step(batch: pa.RecordBatch):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t or "", width) for t in batch.column(1).to_pylist()], SHINGLES_ARROW.types[1])], schema=SHINGLES_ARROW)
+
+        return step
+
+    return in_batches(texts, make, SHINGLES)
+
+
+def similar(docs: DataFrame, t: DataFrame, width: int, similarity: float, brute: int = BRUTE) -> DataFrame:
+    """c and part for each content that has a link: links join contents with so similar sets of shingles."""
+    nodes = written(t.groupBy("c").agg(F.any_value("f0").alias("f0"), F.any_value("f1").alias("f1"), F.min("k").alias("k")), "contents")
+    found = written(links(nodes.select(F.col("c").alias("id"), "f0", "f1"), tables(128, 3, 4), 14, brute), "candidates")
+    ends = found.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    k2, key, c2, may = fresh(docs, "__k", "__key", "__c", "__may")
+    need = written(nodes.join(ends.hint("merge"), "c").select(F.col("k").alias(k2), F.col("c").alias(c2)), "needed")
+    marked = likely(docs.withColumn(key, _row_key()), F.col(key), need.select(k2), may).where(F.col(may))
+    texts = marked.join(need.hint("merge"), F.col(key) == F.col(k2)).groupBy(c2).agg(F.any_value("text").alias("text"))
+    sets = written(_shingled(texts, width), "shingles")
+
+    def held(pairs: DataFrame) -> DataFrame:
+        one, two = (sets.select(F.col("c").alias(x), F.col("shingles").alias(f"s{x}")).hint("merge") for x in "ab")
+        both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("n"), (F.size("sa") + F.size("sb")).alias("all"))
+        return both.where(F.col("n") >= F.lit(similarity) * (F.col("all") - F.col("n"))).select("a", "b")
+
+    # Each content's nearest candidate first; then those that would join what is not joined yet.
+    each = found.select("a", "b", "far", F.explode(F.array("a", "b")).alias("c"))
+    nearest = each.groupBy("c").agg(F.min(F.struct("far", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+    good = written(held(nearest), "nearest")
+    parts = written(connected_components(good), "parts")
+    where = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"p{x}")).hint("merge")
+    apart = found.join(where("a"), "a", "left").join(where("b"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b"))
+    every = good.unionByName(held(apart))
+    return connected_components(written(every, "similar")).select(F.col("node").alias("c"), F.col("component").alias("part"))
+
+
+def near_representatives(docs: DataFrame, similarity: float = 0.8, width: int = 5, brute: int = BRUTE) -> DataFrame:
+    """The rows of docs that stay: of each group of near duplicates the one of the smallest doc_id, nulls last.
+
+    Two texts are linked if their sets of shingles of `width` words, in small
+    letters, are so similar (intersection over union) and a nearest-first
+    forest of some table holds the pair; equal words always link.
     """
-    key = F.xxhash64(F.col("doc_id"), text_column())
-    keyed = docs.select("doc_id", F.col("text"), key.alias("k"))
-    t = written(_keyed_prints(keyed, width), "prints")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k"))
-    best = t.groupBy("fp").agg(least.alias("least")).join(_parts(t, radius, brute), "fp").groupBy("part").agg(F.min("least").alias("least"))
-    keep = best.select(F.col("least.k").alias("__k"), F.col("least.doc_id").alias("__id"))
-    rows = docs.withColumn("__k", key).join(keep, "__k").where(F.col("doc_id").eqNullSafe(F.col("__id")))
-    first = Window.partitionBy("__k").orderBy("__k")
-    return rows.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
+    t = written(_contents(docs.select("doc_id", "text", _row_key().alias("k"))), "words")
+    parts = written(similar(docs, t, width, similarity, brute), "parts")
+    return _first_of(docs, t.join(parts.hint("merge"), "c", "left").select("k", "doc_id", F.coalesce("part", "c").alias("part")))
 
 
 KEYED, KEYED_ARROW = arrow_schema(doc_id="long", k="long", fp="long")

@@ -68,6 +68,52 @@ def test_representatives_keep_columns_and_one_of_each_group(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
 
 
+def test_masks_in_parts_cover():
+    masks = simhash.tables(128, 3, 4)
+    assert len(masks) == 93
+    whole = lambda m: sum((w % (1 << 64)) << 64 * i for i, w in enumerate(m))
+    r = random.Random(3)
+    for _ in range(3000):
+        bits = sum(1 << i for i in r.sample(range(128), 14))
+        assert any(not bits & whole(m) for m in masks)
+
+
+@pytest.mark.parametrize("limit", [simhash.BRUTE, 5])
+def test_near_duplicates_by_similarity(spark, limit):
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(3000)]
+    rows, want = [], {}
+    for group in range(25):
+        base = [r.choice(words) for _ in range(r.choice([120, 300]))]
+        for _ in range(r.randrange(1, 5)):
+            t = list(base)
+            for _ in range(len(t) // 120):
+                t[r.randrange(len(t))] = r.choice(words)
+            want[len(rows)] = group
+            rows.append((len(rows), " ".join(t)))
+    rows += [(2000, rows[0][1].upper()), (2001, None), (2002, ""), (2003, "one two"), (2003, "one two"), (2004, "two one"), (None, rows[3][1])]
+    df = spark.createDataFrame([(d, t, "en", 1, 2) for d, t in rows], "doc_id long, text string, c string, k long, __k long")
+    kept = simhash.near_representatives(df, brute=limit)
+    assert kept.columns == df.columns
+    got = sorted(x.doc_id for x in kept.collect())
+    sets = [set(simhash.shingles(t or "", 5)) for _, t in rows]
+    part = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = part[i], part[j]
+                part = [min(a, b) if x in (a, b) else x for x in part]
+    first = {}
+    for (d, _), p in zip(rows, part, strict=True):
+        first[p] = min(first.get(p, 1e9), 1e9 if d is None else d)
+    assert got == sorted(first.values())
+
+
+def test_names_that_clash(spark):
+    df = spark.createDataFrame([(1, "a b c d e", 5), (2, "a b c d e", 6), (3, "x", 7)], "doc_id long, text string, __key long")
+    assert sorted(simhash.representatives(df).collect()) == sorted(simhash.near_representatives(df).collect()) == [(1, "a b c d e", 5), (3, "x", 7)]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.components(df).count() == 0 and simhash.representatives(df).count() == 0
