@@ -221,7 +221,7 @@ def violations(tables: Tables, only: list[str] | None = None, absent: str = "rep
     too; absent="skip" leaves such rules out, for a caller who knows that a run
     has no such tables.
     """
-    from lodestrata.operators import referrals, routing  # noqa: F401  register their rules
+    from lodestrata.operators import gates, referrals, routing  # noqa: F401  register their rules
 
     if unknown := set(only or ()) - set(RULES):
         raise ValueError(f"no such rules: {sorted(unknown)}")

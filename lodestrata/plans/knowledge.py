@@ -175,6 +175,24 @@ def q_violations_intake(spark, sf_dir):
     return rules.violations({"intake": intake, "home": home}, ["V53_intake_lineage", "V53_intake_identities"]).select("rule", "subject")
 
 
+@query(f"""WITH {SECOND} SELECT 'V8_live_bytes' AS rule, d.doc_id::VARCHAR AS subject, CASE WHEN s.doc_id IS NULL THEN 'gone' ELSE 'changed' END AS detail FROM documents d LEFT JOIN second s ON s.doc_id = d.doc_id WHERE s.doc_id IS NULL OR sha256(s.text) <> sha256(d.text)
+UNION ALL SELECT 'V54_release_gate', 'p:' || o_orderkey || ':records', 'not what was approved' FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT 'V54_release_gate', 'p:' || o_orderkey, 'not in the publication history' FROM orders WHERE o_orderkey % 50 = 7
+UNION ALL SELECT 'V1_digests', p_name || p_partkey, 'differs' FROM part WHERE p_size % 10 = 3""")
+def q_violations_gates(spark, sf_dir):
+    d, o, p = documents(spark, sf_dir), table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
+    sha = lambda x: x.select(F.col("doc_id").cast("string").alias("evidence_id"), F.sha2("text", 256).alias("sha256"))
+    run = F.col("o_orderkey").cast("string").alias("run_id")
+    tables = {
+        "files": sha(d),
+        "live": sha(second(d)),
+        "bindings": o.select(F.lit("p").alias("project_id"), run, F.lit("records").alias("artefact"), F.lit("a").alias("reviewed"), F.when(F.col("o_orderstatus") == "P", "b").otherwise("a").alias("released")),
+        "releases": o.select(F.lit("p").alias("project_id"), run, F.lit("current").alias("visibility")),
+        "publications": o.where("o_orderkey % 50 <> 7").select(run),
+        "digests": p.select(F.concat("p_name", F.col("p_partkey").cast("string")).alias("name"), F.lit("x").alias("expected"), F.when(F.col("p_size") % 10 == 3, "y").otherwise("x").alias("found")),
+    }
+    return rules.violations(tables, ["V8_live_bytes", "V54_release_gate", "V1_digests"])
+
+
 # ---- scalars
 
 STAMPS = "s AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M-05:00') WHEN 2 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') WHEN 3 THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S+02:00') END AS t, ts FROM events)"

@@ -223,6 +223,15 @@ def routed(spark):
     t["observations"] = spark.createDataFrame([("I1", 0, "stale"), ("I1", 1, "current"), ("I2", 0, "current")], "item_id string, ordinal int, status string")
     t["decisions"] = spark.createDataFrame([("I1", 0, "defer", "Ada", "later", "2026-01-02", "r1", None), ("I1", 1, "accept", "Ada", "now", "2026-01-03", "r1", "full_file")], "item_id string, ordinal int, decision string, reviewer string, reason string, reviewed_at string, origin_review_sha256 string, capture_mode string").withColumn("reviewed_at", F.to_timestamp("reviewed_at"))
     t["tasks"] = spark.createDataFrame([("I1", "proposed_capture_reconciliation")], "item_id string, status string")
+    t["records"] = t["records"].withColumn("run_id", F.lit("run1")).withColumn("project_id", F.lit("home"))
+    t["digests"] = spark.createDataFrame([("manifest", "a", "a"), ("segments", "b", "b")], "name string, expected string, found string")
+    t["scope"] = spark.createDataFrame([("run1", "s", "s")], "run_id string, expected string, found string")
+    t["documents"] = spark.createDataFrame([("E1", "h0", "h1", "a", "b", "c")], "evidence_id string, original_sha256 string, text_sha256 string, original_path string, text_path string, metadata_path string")
+    t["rebuilt_segments"] = t["segments"]
+    t["live"] = t["files"].select("evidence_id", "sha256")
+    t["run"] = spark.createDataFrame([("run1", "home", "0.6")], "run_id string, project_id string, schema_version string")
+    t["bindings"] = spark.createDataFrame([("home", "run1", "records.json", "d", "d")], "project_id string, run_id string, artefact string, reviewed string, released string")
+    t["locations"] = spark.createDataFrame([("run1", "l", "l", "c", "c")], "run_id string, expected_location string, location string, expected_config string, config string")
     t["requests"] = spark.createDataFrame([("Q1", "E1", 1, 2)], "request_id string, evidence_id string, start int, end int")
     return t
 
@@ -236,6 +245,7 @@ ROUTING = [
     ("manual_mentions", {"quote": "'x'"}, "V34_manual_references"), ("manual_mentions", {"representation_sha256": "'x'"}, "V34_manual_references"), ("manual_mentions", {"end": "9"}, "V34_manual_references"), ("manual_mentions", {"target": "'far'"}, "V34_manual_references"), ("manual_mentions", {"target": "'home'"}, "V34_manual_references"), ("manual_mentions", {"mention_id": "'M1'"}, "V34_manual_references"), ("selected", {"start": "2"}, "V34_manual_references_selected"),
     ("intake", {"expected_id": "'I9'"}, "V53_intake_identities"), ("intake", {"origin_project": "'home'"}, "V53_intake_identities"), ("intake", {"source_status": "'stale'"}, "V53_intake_status_is_the_last_observed"), ("observations", {"ordinal": "-ordinal"}, "V53_intake_status_is_the_last_observed"),
     ("decisions", {"reviewer": "' '"}, "V53_intake_decisions"), ("decisions", {"reviewed_at": "timestamp'2025-01-01'"}, "V53_intake_decisions"), ("decisions", {"reviewed_at": "timestamp'2999-01-01'"}, "V53_intake_decisions"), ("decisions", {"capture_mode": "'full_file'"}, "V53_intake_decisions"), ("decisions", {"ordinal": "-ordinal"}, "V53_intake_decisions"), ("tasks", {"status": "'x'"}, "V53_intake_tasks"), ("decisions", {"decision": "'defer'"}, "V53_intake_tasks"), ("intake", {"supersedes": "'I9'"}, "V53_intake_lineage"), ("intake", {"supersedes": "item_id"}, "V53_intake_lineage"), ("intake", {"family": "item_id"}, "V53_intake_lineage"),
+    ("digests", {"found": "null"}, "V1_digests"), ("digests", {"name": "'manifest'"}, "V1_digests"), ("scope", {"found": "'x'"}, "V2_scope"), ("documents", {"text_sha256": "original_sha256"}, "V4_documents"), ("documents", {"text_path": "original_path"}, "V4_documents"), ("documents", {"evidence_id": "'E9'"}, "V4_documents"), ("rebuilt_segments", {"end": "1"}, "V7_segments_rebuild"), ("live", {"sha256": "'x'"}, "V8_live_bytes"), ("live", {"evidence_id": "'E9'"}, "V8_live_bytes"), ("run", {"run_id": "'run9'"}, "V9_records_of_the_run"), ("run", {"schema_version": "'9'"}, "V9_records_of_the_run"), ("bindings", {"released": "null"}, "V54_release_gate"), ("bindings", {"reviewed": "'x'"}, "V54_release_gate"), ("publications", {"run_id": "'run7'"}, "V54_release_gate"), ("locations", {"config": "'x'"}, "V59_location"), ("locations", {"location": "null"}, "V59_location"),
     ("requests", {"end": "3"}, "V56_requests"), ("requests", {"evidence_id": "'E9'"}, "V56_requests"), ("projects", {"id": "'other'"}, "V61_target_is_registered"),
 ]
 
