@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions.identity import segment_id
 from lodestrata.functions.text import LINE_ENDS
+from lodestrata.sources.charset import html_text
 from lodestrata.sources.frames import SHAPE, _ARROW
 from lodestrata.sources.html import read_html
 from lodestrata.sources.images import read_png, read_svg
@@ -31,7 +32,7 @@ def _pdf(raw: bytes) -> list[Row]:
 
 
 READERS: dict[str, Callable[[bytes], list[Row]]] = {
-    ".html": lambda raw: read_html(raw.decode("utf-8-sig")),
+    ".html": lambda raw: read_html(html_text(raw)),
     ".csv": csv_rows,
     ".eml": read_eml,
     ".xlsx": read_xlsx,

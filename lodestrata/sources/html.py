@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lodestrata.sources.frames import per_document
+from lodestrata.sources.office import Refused
 
 # Subtrees that hold no text, elements without an end, and elements that open a block.
 SILENT = frozenset(("script", "style", "template", "noscript", "iframe", "object", "embed"))
@@ -17,6 +18,10 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 BLOCKS = HEADINGS | frozenset(("p", "li", "pre", "blockquote", "td", "th", "caption", "figcaption", "dt", "dd", "title", "div", "section", "article", "header", "footer", "nav", "aside", "main", "body", "ul", "ol", "table", "tr", "thead", "tbody", "tfoot"))
 
 
+#: What a page may hold: elements, elements within each other, table cells. Beyond it is refused, never cut.
+NODES, DEPTH, CELLS = 200_000, 512, 100_000
+
+
 class Located(HTMLParser):
     """Collects (locator, content_type, text); a locator is the path of tag=n from the root."""
 
@@ -26,7 +31,7 @@ class Located(HTMLParser):
         self.path: list[tuple[str, int]] = []
         self.counts: list[dict[str, int]] = [{}]
         self.text: list[str] = []
-        self.silent = 0
+        self.silent = self.nodes = self.cells = 0
         self.tables: list[dict] = []
 
     def _locator(self) -> str:
@@ -43,7 +48,7 @@ class Located(HTMLParser):
             self.tables[-1]["cell"].append(text)
             return
         tag = next((t for t in reversed(inside) if t in BLOCKS), "body")
-        kind = "heading" if tag in HEADINGS else "code" if tag == "pre" else "list_item" if tag == "li" else "title" if tag == "title" else "paragraph"
+        kind = "heading" if tag in HEADINGS else "code" if tag == "pre" else "list_item" if tag == "li" else "title" if tag == "title" else "caption" if tag == "caption" else "paragraph"
         self.rows.append((self._locator(), kind, text))
 
     def handle_starttag(self, tag, attrs):
@@ -51,12 +56,17 @@ class Located(HTMLParser):
             self._flush()
         if tag == "br":
             self.text.append("\n")
+        self.nodes += 1
+        if self.nodes > NODES:
+            raise Refused("too_many_nodes")
+        if len(self.path) >= DEPTH:
+            raise Refused("too_deep")
         seen = self.counts[-1]
         seen[tag] = seen.get(tag, 0) + 1
         at = f"{self._locator().rstrip('/')}/{tag}={seen[tag]}"
         if not self.silent:
             for name, value in attrs:
-                if name in ("href", "src") and value:
+                if name in ("href", "src", "data", "poster") and value:
                     self.rows.append((f"{at}/@{name}", "resource_reference", value.strip()))
                 elif name == "alt" and value and value.strip():
                     self.rows.append((f"{at}/@alt", "image_alt", value.strip()))
@@ -71,6 +81,9 @@ class Located(HTMLParser):
         elif self.tables and tag == "tr":
             self.tables[-1].update(row=[], all_th=True)
         elif self.tables and tag in ("td", "th") and self.tables[-1]["row"] is not None:
+            self.cells += 1
+            if self.cells > CELLS:
+                raise Refused("too_many_cells")
             t = self.tables[-1]
             t["cell"] = []
             t["all_th"] = t["all_th"] and tag == "th"
@@ -140,4 +153,12 @@ def read_html(text: str) -> list[tuple[str, str, str]]:
 
 def blocks(df: DataFrame, key: str, html: str) -> DataFrame:
     """id, ordinal, locator, content_type and text of each block of each page; null pages have none."""
-    return per_document(df, key, html, lambda raw: read_html(raw), pa.string())
+
+
+    def read(text: str) -> list[tuple[str, str, str]]:
+        try:
+            return read_html(text)
+        except Refused as x:
+            return [("/", "error", x.code)]
+
+    return per_document(df, key, html, read, pa.string())

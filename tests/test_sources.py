@@ -189,3 +189,19 @@ def test_images_and_markup_that_would_grow_are_refused():
         with pytest.raises(office.Refused):
             office.xml(raw)
     assert office.xml(b"<a><b/></a>").tag == "a"
+
+
+def test_charsets_and_budgets():
+    from lodestrata.sources import adapters, charset
+    from lodestrata.sources.office import Refused
+
+    assert charset.decoded("é".encode(), None) == charset.decoded("é".encode("cp1252"), " Windows-1252 ") == charset.decoded(b"\xef\xbb\xbf" + "é".encode(), "utf8") == "é"
+    for raw, declared, code in ((b"x", "utf-7", "unsupported_charset"), (b"\xef\xbb\xbfx", "latin-1", "charset_conflict"), (b"\xe9", "us-ascii", "charset_decode_error"), (b"\xe9", None, "charset_decode_error")):
+        with pytest.raises(Refused, match=code):
+            charset.decoded(raw, declared)
+    assert ("/p=1", "paragraph", "é") in adapters.extract(b"<meta charset=iso-8859-1><p>\xe9</p>", "a.html")
+    assert adapters.extract(b"<meta charset=x-odd><p>a</p>", "a.html") == [("/", "error", "unsupported_charset")]
+    assert adapters.extract(b"<div>" * 600, "a.html") == [("/", "error", "too_deep")]
+    assert adapters.extract(b"<br>" * 200_001, "a.html") == [("/", "error", "too_many_nodes")]
+    rows = adapters.extract(b"<video poster='p.png'></video><table><caption>Sums</caption><tr><td>1</td></tr></table>", "a.html")
+    assert ("/video=1/@poster", "resource_reference", "p.png") in rows and any(k == "caption" and t == "Sums" for _, k, t in rows)
