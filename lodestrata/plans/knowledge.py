@@ -258,6 +258,20 @@ def q_next_sequence(spark, sf_dir):
     return delta.next_sequences(runs)
 
 
+CONTRACT = {"type": "object", "required": ["k"], "additionalProperties": False, "properties": {"k": {"type": "integer", "minimum": 10, "maximum": 60}, "more": {"type": "array", "uniqueItems": True, "items": {"type": "string", "pattern": "^[a-z]"}}}}
+
+
+@query("""WITH e AS (SELECT event_id, (props->>'$.k')::BIGINT AS k, event_id % 6 AS m FROM events)
+SELECT event_id, CASE WHEN m = 1 THEN '$.k: type' WHEN k < 10 THEN '$.k: minimum' WHEN k > 60 THEN '$.k: maximum' WHEN m = 2 THEN '$.x: additionalProperties' WHEN m = 3 THEN '$.more: uniqueItems' WHEN m = 4 THEN '$.more[1]: pattern' END AS fault FROM e WHERE m < 5 UNION ALL SELECT event_id, '$.k: required' FROM e WHERE m = 5""")
+def q_contract_faults(spark, sf_dir):
+    from lodestrata.sources import contracts
+
+    m, k = F.col("event_id") % 6, F.get_json_object("props", "$.k")
+    more = F.when(m == 2, ', "x": 1').when(m == 3, ', "more": ["a", "a"]').when(m == 4, ', "more": ["a", "B"]').otherwise("")
+    text_ = F.when(m == 5, "{}").otherwise(F.concat(F.lit('{"k": '), F.when(m == 1, F.concat(F.lit('"'), k, F.lit('"'))).otherwise(k), more, F.lit("}")))
+    return table(spark, sf_dir, "events").select("event_id", contracts.faults(text_, CONTRACT).alias("fault"))
+
+
 # ---- selections, orders, subsets
 
 @query("""WITH r AS (SELECT doc_id, 2 AS a, 3 AS b FROM documents WHERE n_chars > 0 AND len(string_split(text, chr(10))) >= 3 AND doc_id % 2 = 0), n AS (SELECT doc_id, len(string_split(text, chr(10)))::INT AS lines FROM documents), w AS (SELECT doc_id, 1 AS a, lines AS b FROM n WHERE doc_id % 3 = 0),

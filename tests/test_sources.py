@@ -205,3 +205,16 @@ def test_charsets_and_budgets():
     assert adapters.extract(b"<br>" * 200_001, "a.html") == [("/", "error", "too_many_nodes")]
     rows = adapters.extract(b"<video poster='p.png'></video><table><caption>Sums</caption><tr><td>1</td></tr></table>", "a.html")
     assert ("/video=1/@poster", "resource_reference", "p.png") in rows and any(k == "caption" and t == "Sums" for _, k, t in rows)
+
+
+def test_contracts(spark):
+    from lodestrata.sources import contracts
+
+    schema = {"type": "object", "required": ["a"], "additionalProperties": False, "properties": {"a": {"anyOf": [{"type": "null"}, {"type": "integer", "minimum": 1}]}, "b": {"type": "array", "minItems": 1, "maxItems": 2, "uniqueItems": True, "items": {"enum": ["x", 1]}}, "c": {"type": "string", "minLength": 2, "maxLength": 3, "pattern": "^q"}, "d": {"const": True}, "e": {"type": ["number", "boolean"]}}}
+    for text, want in [('{"a": null}', None), ('{"a": 1, "b": ["x", 1], "c": "qq", "d": true, "e": 1.5}', None), ("[]", "$: type"), ("{}", "$.a: required"), ('{"a": true}', "$.a: anyOf"), ('{"a": 0}', "$.a: anyOf"), ('{"a": 1, "z": 1}', "$.z: additionalProperties"), ('{"a": 1, "b": []}', "$.b: minItems"), ('{"a": 1, "b": [1, 1]}', "$.b: uniqueItems"), ('{"a": 1, "b": [1, true]}', "$.b[1]: enum"), ('{"a": 1, "b": [1, 2, 3]}', "$.b: maxItems"), ('{"a": 1, "c": "q"}', "$.c: minLength"), ('{"a": 1, "c": "qqqq"}', "$.c: maxLength"), ('{"a": 1, "c": "xx"}', "$.c: pattern"), ('{"a": 1, "d": 1}', "$.d: const"), ('{"a": 1, "e": "1"}', "$.e: type")]:
+        assert contracts.text_fault(text, schema) == want, text
+    assert contracts.text_fault('{"a": 1, "a": 2}', schema).startswith("$: ")
+    df = spark.createDataFrame([('{"a": 1}',), ('{"a": 0}',)], "t string")
+    assert contracts.valid(df.limit(1), "t", schema).count() == 1
+    with pytest.raises(ValueError, match="anyOf"):
+        contracts.valid(df, "t", schema)
