@@ -272,6 +272,35 @@ def q_contract_faults(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", contracts.faults(text_, CONTRACT).alias("fault"))
 
 
+# ---- sources: files made of the test tables
+
+
+@query(
+    '''WITH p AS (SELECT p_size AS id, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS n, p_partkey, p_name FROM part)
+SELECT id, 0 AS ordinal, '/line=1' AS locator, 'table_header' AS content_type, '["key","a \\"name\\""]' AS text FROM p GROUP BY id UNION ALL
+SELECT id, n::INT, '/lines=' || n * 2 || '-' || n * 2 + 1, 'table_row', '[{"column":1,"header":"key","value":"0' || p_partkey || '"},{"column":2,"header":"a \\"name\\"","value":"' || p_name || '\\nx"}]' FROM p'''
+)
+def q_csv_cells(spark, sf_dir):
+    from lodestrata.sources.tabular import read_csv
+
+    record = F.concat(F.lit("0"), F.col("p_partkey").cast("string"), F.lit(';"'), F.col("p_name"), F.lit('\nx"\n'))
+    files = table(spark, sf_dir, "part").groupBy(F.col("p_size").alias("id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", record.alias("r")))), lambda x: x["r"]), "").alias("body"))
+    return read_csv(files.select("id", F.encode(F.concat(F.lit('key;"a ""name"""\n'), "body"), "utf-8").alias("raw")), "id", "raw", ";", "first-row")
+
+
+@query("""SELECT conv_id * 100 + turn AS id, 0 AS ordinal, '/header=From' AS locator, 'header' AS content_type, role AS text FROM conversations UNION ALL SELECT conv_id * 100 + turn, 1, '/header=Subject', 'header', 'turn ' || turn FROM conversations
+UNION ALL SELECT conv_id * 100 + turn, 2, '/part=1/run=1', 'body', 'start' FROM conversations UNION ALL SELECT conv_id * 100 + turn, 3, '/part=1/run=2', 'quoted_reply', '> ' || conv_id || chr(10) || '> said' FROM conversations UNION ALL SELECT conv_id * 100 + turn, 4, '/part=1/run=3', 'body', 'end' FROM conversations""")
+def q_mail_runs(spark, sf_dir):
+    from lodestrata.sources.frames import per_document
+    from lodestrata.sources.mail import read_eml
+
+    import pyarrow as pa
+
+    c = table(spark, sf_dir, "conversations")
+    raw = F.concat(F.lit("From: "), "role", F.lit("\nSubject: turn "), F.col("turn").cast("string"), F.lit("\n\nstart\n> "), F.col("conv_id").cast("string"), F.lit("\n> said\nend\n"))
+    return per_document(c.select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.encode(raw, "utf-8").alias("raw")), "id", "raw", read_eml, pa.binary())
+
+
 # ---- selections, orders, subsets
 
 @query("""WITH r AS (SELECT doc_id, 2 AS a, 3 AS b FROM documents WHERE n_chars > 0 AND len(string_split(text, chr(10))) >= 3 AND doc_id % 2 = 0), n AS (SELECT doc_id, len(string_split(text, chr(10)))::INT AS lines FROM documents), w AS (SELECT doc_id, 1 AS a, lines AS b FROM n WHERE doc_id % 3 = 0),

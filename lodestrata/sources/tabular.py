@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.sources.charset import decoded
 from lodestrata.sources.frames import per_document
+from lodestrata.sources.office import Refused
 
 LARGEST_JSON = 16 * 1024 * 1024
 CELLS = 100_000
@@ -66,13 +68,15 @@ def history(spark: SparkSession, path: str, schema: str, key: str = "run_id") ->
     return log
 
 
-def csv_rows(raw: bytes | str, delimiter: str = ",", headers: str = "none") -> list[tuple[str, str, str]]:
+def csv_rows(raw: bytes | str, delimiter: str = ",", headers: str = "none", charset: str | None = None) -> list[tuple[str, str, str]]:
     """(locator, content_type, text): each record as a JSON array, or as named cells where the first row holds the headers.
 
     The locator names the physical lines that a record spans. All values stay
     strings; ragged and single-column tables are told, never padded.
     """
-    text = (raw.decode("utf-8-sig") if isinstance(raw, bytes) else raw).removeprefix("\ufeff")
+    text = (decoded(raw, charset) if isinstance(raw, bytes) else raw).removeprefix("\ufeff")
+    if "\0" in text:
+        raise Refused("holds_nul")
     reader = csv.reader(io.StringIO(text, newline=""), delimiter=delimiter, strict=True)
     rows, first, names, cells, before, widths = [], True, None, 0, 0, set()
     for record in reader:
@@ -93,6 +97,7 @@ def csv_rows(raw: bytes | str, delimiter: str = ",", headers: str = "none") -> l
                     rows.append((at, "warning", "duplicate_header"))
                 if not all(n.strip() for n in names):
                     rows.append((at, "warning", "empty_header"))
+                rows.append((at, "table_header", json.dumps(names, ensure_ascii=False, separators=(",", ":"))))
             else:
                 rows.append((at, "table_row", json.dumps([{"column": i + 1, "header": names[i] if i < len(names) else None, "value": v} for i, v in enumerate(record)], ensure_ascii=False, separators=(",", ":"))))
         else:
@@ -105,5 +110,5 @@ def csv_rows(raw: bytes | str, delimiter: str = ",", headers: str = "none") -> l
     return rows
 
 
-def read_csv(df: DataFrame, key: str, content: str, delimiter: str = ",", headers: str = "none") -> DataFrame:
-    return per_document(df, key, content, lambda raw: csv_rows(raw, delimiter, headers), pa.binary())
+def read_csv(df: DataFrame, key: str, content: str, delimiter: str = ",", headers: str = "none", charset: str | None = None) -> DataFrame:
+    return per_document(df, key, content, lambda raw: csv_rows(raw, delimiter, headers, charset), pa.binary())

@@ -31,7 +31,8 @@ def test_csv():
     assert [r[0] for r in tabular.csv_rows(raw, ";")] == ["/line=1", "/lines=2-3", "/line=4"]
     assert tabular.csv_rows(raw, ";")[1][2] == '["007","two\\r\\nlines"]'
     named = tabular.csv_rows(raw, ";", "first-row")
-    assert json.loads(named[0][2]) == [{"column": 1, "header": "id", "value": "007"}, {"column": 2, "header": "text", "value": "two\r\nlines"}]
+    assert named[0] == ("/line=1", "table_header", '["id","text"]')
+    assert json.loads(named[1][2]) == [{"column": 1, "header": "id", "value": "007"}, {"column": 2, "header": "text", "value": "two\r\nlines"}]
     assert ("/", "warning", "ragged_rows") in tabular.csv_rows(b"a,b\n1\n") and ("/", "warning", "single_column") in tabular.csv_rows(b"a\nb\n")
     assert ("/line=1", "warning", "duplicate_header") in tabular.csv_rows(b"a,a\n1,2\n", headers="first-row")
     with pytest.raises(ValueError):
