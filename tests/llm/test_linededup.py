@@ -88,3 +88,12 @@ def test_a_copy_of_each_line_stays(spark):
 
 def test_empty_table(spark):
     assert linededup.deduplicated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_names_that_clash_and_long_texts(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"one\n{passage}", 1, 2), (2, f"{passage}\ntwo", 3, 4), (3, "\n".join(f"line {i % 7000}" for i in range(20_000)), 5, 6), (4, None, 7, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __k long, __gone long")
+    out = {r.doc_id: r for r in linededup.deduplicated(df).collect()}
+    assert out[2].text == "two" and out[1].text == rows[0][1] and out[4].text is None and (out[2]["__k"], out[2]["__gone"]) == (3, 4)
+    assert len(out[3].text.split("\n")) == 7000

@@ -94,3 +94,38 @@ def test_parts_of_words_give_the_ids_of_whole_texts(case):
         for text in (w, f"{w} {w.upper()},", f"x{w}.y"):
             ids, sizes = model.ids(text.split(), known)
             assert ids.tolist() == t.encode(text, add_special_tokens=False).ids and sizes.sum() == len(ids), text
+
+
+def least_bins(items, capacity):
+    """The fewest bins, by trying every place for every item."""
+    best = [len(items)]
+
+    def put(i, gaps):
+        if len(gaps) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(gaps)
+            return
+        for k in {g: j for j, g in enumerate(gaps)}.values():
+            if gaps[k] >= items[i]:
+                put(i + 1, [g - items[i] if j == k else g for j, g in enumerate(gaps)])
+        put(i + 1, [*gaps, capacity - items[i]])
+
+    put(0, [])
+    return best[0]
+
+
+def test_plans_against_the_fewest_bins():
+    r = random.Random(17)
+    more = 0
+    for _ in range(400):
+        capacity = r.choice([10, 12, 30])
+        items = sorted((r.randrange(1, capacity + 1) for _ in range(r.randrange(1, 9))), reverse=True)
+        bins = check_plan({n: items.count(n) for n in items}, capacity)
+        least = least_bins(items, capacity)
+        assert least <= bins <= least + 1
+        more += bins > least
+        large = [n for n in items if 3 * n > capacity]  # at most two of them fit a bin: greedy matching is exact
+        if large:
+            assert check_plan({n: large.count(n) for n in large}, capacity) == least_bins(large, capacity)
+    assert more <= 20
