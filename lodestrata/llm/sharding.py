@@ -5,16 +5,21 @@ along the dimension that is widest in the node, until the leaves reach the
 target bytes. A median is found on all rows of all nodes of a level at once:
 rows are counted by (node, bin) with sums of bytes made in each task, the bin
 in which a node reaches its share is divided further, and after a few rounds
-the cut is exact to one key. Keys are a dimension's value followed by a hash
-of doc_id, so that a hot value (a source with a third of all rows, a group of
-copies) is divided as well. The driver sees at most NODES * BINS sums a round.
+the cut is exact to one key. Keys are the rank of a dimension's whole value
+among all values, of any type that Spark can order, followed by a hash of the
+row, so that a hot value (a source with a third of all rows, a group of copies,
+rows that repeat) is divided as well. A dimension's width in a node is the
+range of its values there as a share of their range over all rows; text has no
+distances and counts by its ranks. The driver sees at most NODES * BINS sums a
+round.
 
 Law: `bytes`. Shards differ by about one document's size for each split.
 
 Cases: null texts count as none and weigh one byte; a null in a dimension
 sorts first; a null doc_id sorts by its text's hash; repeated rows are rows of
-their own; an empty table gives no rows; further columns are ignored by
-`sharded` and carried by `write_shards`.
+their own; a very long text is one row of its size; an empty table gives no
+rows; further columns, whatever their names, are ignored by `sharded` and
+carried by `write_shards`.
 """
 
 from __future__ import annotations
@@ -22,12 +27,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import numbered, table, text_column
+from lodestrata.llm.common import fresh, numbered, table, text_column
 from lodestrata.session import written
 
 #: Bins of a node's keys in a round, as a power of two.
 BIN_BITS = 12
-#: Bits of a dimension's value and of the hash behind it.
+#: Bits of a value's rank and of the hash behind it; ranks that need more lose their last bits, which the hash then stands for.
 VALUE_BITS, HASH_BITS = 31, 31
 #: A cut this near to its share, as a part of a leaf, is not made finer.
 NEAR = 1e-4
@@ -35,29 +40,34 @@ NEAR = 1e-4
 NODES = 4096
 
 
-def _dimensions(columns: dict[str, str]) -> dict[str, Column]:
-    """Each metadata column as a number of VALUE_BITS: numbers as they are (in their range), text by its first bytes."""
-    out = {}
-    top = (1 << VALUE_BITS) - 1
-    for name, kind in columns.items():
-        if kind in ("string",):
-            head = F.conv(F.rpad(F.hex(F.substring(F.encode(F.col(name), "utf-8"), 1, 4)), 8, "0"), 16, 10).cast("long")
-            value = F.shiftright(head, 1)
-        else:
-            value = F.least(F.greatest(F.col(name).cast("long"), F.lit(0)), F.lit(top))
-        out[name] = F.coalesce(value, F.lit(0)).cast("long")
-    return out
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz", "boolean")
+
+
+def _width_value(name: str, kind: str) -> Column:
+    """A value as a number whose distances count; null for text and other types."""
+    if kind in ("date",):
+        return F.unix_date(name).cast("double")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    return F.col(name).cast("double") if kind in NUMERIC or kind.startswith("decimal") else F.lit(None).cast("double")
 
 
 def _prepared(docs: DataFrame, dimensions: list[str]) -> DataFrame:
-    """A small row for each row of docs, written once: what the tree needs, without the text."""
+    """A small row for each row of docs, written once: what the tree needs, without the text. k0, k1 and so on are keys, w0, w1 and so on what widths are measured by."""
     kinds = dict(docs.dtypes)
-    dims = _dimensions({d: kinds[d] for d in dimensions})
     text = text_column()
     size = (F.octet_length(text) + 1).cast("long")
-    tie = F.shiftright(F.xxhash64(F.col("doc_id"), text), 64 - HASH_BITS).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-    rows = docs.select("doc_id", size.alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"), *[F.shiftleft(v, HASH_BITS).bitwiseOR(tie).alias(f"k{i}") for i, v in enumerate(dims.values())])
-    return written(rows, "shards")
+    tie = F.shiftright(F.xxhash64(F.col("doc_id"), text, F.monotonically_increasing_id()), 64 - HASH_BITS).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+    rows = docs.select(F.col("doc_id"), size.alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"), tie.alias("tie"), *[F.col(f"`{d}`").alias(f"d{i}") for i, d in enumerate(dimensions)])
+    rows = written(rows, "rows")
+    for i, d in enumerate(dimensions):
+        values = rows.select(F.col(f"d{i}").alias("v")).where("v is not null").distinct()
+        ranks = written(numbered(values, [], ["v"], "rank"), "ranks")
+        shift = max(0, int(ranks.count()).bit_length() - VALUE_BITS)
+        rank = F.coalesce(F.shiftright(F.col("rank") + 1, shift), F.lit(0)).cast("long")
+        width = _width_value(f"d{i}", kinds[d])
+        rows = rows.join(ranks, F.col(f"d{i}") == F.col("v"), "left").select("*", F.shiftleft(rank, HASH_BITS).bitwiseOR(F.col("tie")).alias(f"k{i}"), (width if kinds[d] in NUMERIC or kinds[d].startswith("decimal") else rank.cast("double")).alias(f"w{i}")).drop("v", "rank")
+    return written(rows.drop("tie", *[f"d{i}" for i in range(len(dimensions))]), "shards")
 
 
 def _array(values: list[int | None]) -> Column:
@@ -66,7 +76,7 @@ def _array(values: list[int | None]) -> Column:
 
 def plan(rows: DataFrame, n_dims: int, shards: int | None, target: int | None) -> list[dict]:
     """The tree: nodes with `dim` and `cut` (keys below go left), or leaves with `shard`. Children come after their parents."""
-    keys = [f"k{i}" for i in range(n_dims)]
+    keys, widths = [f"k{i}" for i in range(n_dims)], [f"w{i}" for i in range(n_dims)]
     total = rows.agg(F.sum("size")).first()[0] or 0
     leaves = shards or max(1, -(-total // max(1, target)))
     if leaves > NODES:
@@ -74,13 +84,13 @@ def plan(rows: DataFrame, n_dims: int, shards: int | None, target: int | None) -
     tree: list[dict] = [{"leaves": leaves, "bytes": total}]
     level = [0]
     while level := [i for i in level if tree[i]["leaves"] > 1]:
-        placed = with_node(rows, tree, n_dims).select("size", *keys, "node").where(F.col("node").isin(level))
-        spread = {r.node: r for r in placed.groupBy("node").agg(*[f(k).alias(f"{n}_{k}") for k in keys for n, f in (("lo", F.min), ("hi", F.max), ("dev", F.stddev_pop))]).collect()}
+        placed = with_node(rows, tree, n_dims).select("size", *keys, *widths, "node").where(F.col("node").isin(level))
+        spread = {r.node: r for r in placed.groupBy("node").agg(*[f(k).alias(f"{n}_{k}") for k in [*keys, *widths] for n, f in (("lo", F.min), ("hi", F.max))]).collect()}
         for i in level:
             if r := spread.get(i):
-                # The widest: the standard deviation as a share of the dimension's range over all rows.
-                wide = tree[0].setdefault("wide", {k: max(1, r[f"hi_{k}"] - r[f"lo_{k}"]) for k in keys})
-                best = max(keys, key=lambda k: (r[f"dev_{k}"] or 0) / wide[k])
+                ranges = [(r[f"hi_{w}"] or 0.0) - (r[f"lo_{w}"] or 0.0) for w in widths]
+                whole = tree[0].setdefault("ranges", ranges)
+                best = keys[max(range(n_dims), key=lambda i: ranges[i] / whole[i] if whole[i] > 0 else 0.0)]
                 tree[i] |= {"dim": keys.index(best), "lo": r[f"lo_{best}"], "hi": r[f"hi_{best}"] + 1, "below": 0}
             else:
                 tree[i] |= {"dim": 0, "lo": 0, "hi": 1, "below": 0}
@@ -156,9 +166,11 @@ def sharded(docs: DataFrame, shards: int | None = None, target: int | None = Non
 def write_shards(docs: DataFrame, path: str, **how) -> None:
     """docs as Parquet, a folder shard=N for each shard, with all their columns."""
     text = text_column()
-    placed = sharded(docs, **how).select(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), F.col("size").alias("__size"), "shard").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.crc32(F.encode(text, "utf-8")) == F.col("__crc")) & (F.octet_length(text) + 1 == F.col("__size"))
-    docs.join(placed, same).drop("__id", "__crc", "__size").write.partitionBy("shard").parquet(path)
+    ident, crc, size, shard = fresh(docs, "__id", "__crc", "__size", "shard")
+    placed = sharded(docs, **how).groupBy("doc_id", "text_crc32", "size").agg(F.min("shard").alias(shard)).toDF(ident, crc, size, shard)
+    placed = written(placed, "placed")
+    same = F.col("doc_id").eqNullSafe(F.col(ident)) & (F.crc32(F.encode(text, "utf-8")) == F.col(crc)) & (F.octet_length(text) + 1 == F.col(size))
+    docs.join(placed, same).drop(ident, crc, size).write.partitionBy(shard).parquet(path)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
