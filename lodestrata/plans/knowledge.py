@@ -193,6 +193,40 @@ def q_violations_gates(spark, sf_dir):
     return rules.violations(tables, ["V8_live_bytes", "V54_release_gate", "V1_digests"])
 
 
+SEGMENTED = "d AS (SELECT doc_id AS i, len(string_split(text, chr(10))) AS n FROM documents)"
+
+
+@query(f"""WITH {SEGMENTED}, t AS (SELECT 'R' || i AS r FROM d), v AS (SELECT 'V3_unique_evidence' AS rule, i::VARCHAR AS subject FROM d WHERE i % 61 = 0 UNION ALL SELECT 'V3_unique_evidence', 's:' || i FROM d WHERE i % 61 = 0
+UNION ALL SELECT 'V14_within_segment', 'R' || i || ':0' FROM d WHERE i % 29 = 0
+UNION ALL SELECT 'V21_segment_coverage', 'S' || i FROM d WHERE i % 37 = 0 OR i % 41 = 0 UNION ALL SELECT 'V21_segment_coverage', 'T' || i FROM d WHERE i % 67 = 0
+UNION ALL SELECT 'V22_rollup', 'S' || i FROM d WHERE i % 47 = 0 AND i % 37 <> 0 UNION ALL SELECT 'V22_rollup', 'S' || i FROM d WHERE i % 47 = 0 AND i % 37 <> 0 AND i % 41 = 0
+UNION ALL SELECT 'V22_intervals_partition', 'S' || i FROM d WHERE i % 43 = 0
+UNION ALL SELECT 'V22_used_intervals_are_cited', 'S' || i || ':0' FROM d WHERE i % 47 <> 0 AND i % 71 = 0 UNION ALL SELECT 'V22_used_intervals_are_cited', 'S' || i || ':0' FROM d WHERE i % 47 = 0 AND i % 71 <> 0
+UNION ALL SELECT 'V24_assertions', 'R' || i || ':refines:R' || CASE WHEN i % 53 = 0 THEN i ELSE i + 1 END FROM d WHERE i % 53 = 0 OR 'R' || (i + 1) NOT IN (SELECT r FROM t)
+UNION ALL SELECT 'V26_events', 'V' || i FROM d WHERE i % 73 = 0 UNION ALL SELECT 'V26_events', 'V' || i FROM d WHERE i % 79 = 0 UNION ALL SELECT 'V26_events', 'V' || i FROM d WHERE i % 83 = 0
+UNION ALL SELECT 'W5_segments_ascend', 'S' || i FROM d WHERE i % 31 = 0) SELECT DISTINCT rule, subject FROM v""")
+def q_violations_segments(spark, sf_dir):
+    """Each violation once, of rules on files, segments, intervals, assertions and events."""
+    i, n = F.col("doc_id"), F.size(F.split("text", "\n", -1))
+    d = documents(spark, sf_dir).withColumn("n", n)
+    name = lambda p, c=i: F.concat(F.lit(p), c.cast("string"))
+    twice = lambda df, test: df.unionByName(df.where(test))
+    end = F.col("n") + F.when(i % 31 == 0, 1).otherwise(0)
+    files = twice(d, "doc_id % 61 = 0").select(i.cast("string").alias("evidence_id"), F.lit("s").alias("source_id"), i.cast("string").alias("relative_path"), F.split("text", "\n", -1).alias("lines"))
+    segments = d.select(name("S").alias("segment_id"), i.cast("string").alias("evidence_id"), F.lit(0).alias("ordinal"), F.lit(1).alias("start"), end.alias("end"))
+    cited = d.where("doc_id % 71 <> 0")
+    cites = cited.select(name("R").alias("record_id"), F.lit(0).alias("ordinal"), i.cast("string").alias("evidence_id"), F.lit(1).alias("start"), F.when(i % 29 == 0, F.col("n") + 99).otherwise(1).alias("end"), name("S").alias("segment_id"))
+    bare = d.where("doc_id % 71 = 0").select(name("R").alias("record_id"), F.lit(0).alias("ordinal"), i.cast("string").alias("evidence_id"), F.lit(1).alias("start"), F.lit(1).alias("end"), F.when(i % 29 == 0, name("none")).alias("segment_id"))
+    cov = twice(d, "doc_id % 41 = 0").where("doc_id % 37 <> 0").select(name("S").alias("segment_id"), F.lit("used").alias("disposition")).unionByName(twice(d, "doc_id % 41 = 0").where("doc_id % 37 = 0 and doc_id % 41 = 0 and false").select(name("S").alias("segment_id"), F.lit("used").alias("disposition"))).unionByName(d.where("doc_id % 67 = 0").select(name("T").alias("segment_id"), F.lit("used").alias("disposition")))
+    intervals_ = d.select(name("S").alias("segment_id"), F.lit(0).alias("ordinal"), F.when(i % 43 == 0, 0).otherwise(1).alias("start"), end.alias("end"), F.when(i % 47 == 0, "deferred").otherwise("used").alias("disposition"))
+    records = d.select(name("R").alias("record_id"))
+    assertions = d.select(name("R").alias("owner"), F.lit("refines").alias("type"), name("R", F.when(i % 53 == 0, i).otherwise(i + 1)).alias("target"))
+    events = twice(d, "doc_id % 73 = 0").select(name("V").alias("event_id"), name("R").alias("record_id"), F.lit("known").alias("status"), F.lit("2024-05").alias("value"), F.when(i % 83 == 0, "2023").alias("end_value"), F.lit("month").alias("precision"), F.array(F.when(i % 79 == 0, 5).otherwise(0)).alias("evidence_refs"))
+    tables = {"files": files, "segments": segments, "citations": cites.unionByName(bare), "segment_coverage": cov, "interval_coverage": intervals_, "records": records, "assertions": assertions, "events": events}
+    names = ["V3_unique_evidence", "V14_within_segment", "V21_segment_coverage", "V22_rollup", "V22_intervals_partition", "V22_used_intervals_are_cited", "V24_assertions", "V26_events", "W5_segments_ascend"]
+    return rules.violations(tables, names).select("rule", "subject").distinct()
+
+
 # ---- scalars
 
 STAMPS = "s AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M-05:00') WHEN 2 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') WHEN 3 THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S+02:00') END AS t, ts FROM events)"
@@ -371,3 +405,90 @@ def q_selected_passages(spark, sf_dir):
     pts = documents(spark, sf_dir).select(i.alias("evidence_id"), F.explode(F.array(*map(F.lit, (1, 3, 5)))).alias("line"))
     ranges = documents(spark, sf_dir).select(i.alias("evidence_id"), (i % 3 + 1).cast("int").alias("start"), (i % 3 + 2).cast("int").alias("end"))
     return selection.in_passages(pts, ranges, "evidence_id").select("evidence_id", "line")
+
+
+# ---- folding, ids, sinks and runs
+
+
+@query("SELECT doc_id, md5(replace(strip_accents(lower(text)), chr(223), 'ss')) AS folded, md5(nfc_normalize(text)) AS composed, md5(replace(lower(text), chr(223), 'ss')) AS small FROM documents")
+def q_folded(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", F.md5(text.fold("text")).alias("folded"), F.md5(text.nfc("text")).alias("composed"), F.md5(text.casefold("text")).alias("small"))
+
+
+@query("SELECT p_partkey, array_to_string(list_filter(regexp_split_to_array(lower(p_name || '-' || p_brand), '[^a-z0-9_]+'), lambda x: x <> ''), ' ') AS words FROM part")
+def q_alias_keys(spark, sf_dir):
+    from lodestrata.operators.mentions import alias_keys
+
+    p = table(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit("-"), "p_brand").alias("alias"), F.lit("t").alias("target"))
+    return alias_keys(p).select("p_partkey", F.array_join("words", " ").alias("words"))
+
+
+@query("""SELECT doc_id, 'S-' || substr(sha256('["E-' || doc_id || '","r","/p=1",1,' || len(string_split(text, chr(10))) || ',"' || sha256(text) || '"]'), 1, 24) AS segment_id, 'M-' || substr(sha256('["E-' || doc_id || '",7,0,3,"home"]'), 1, 24) AS mention_id, 'INT-' || substr(sha256('["o","' || source || '","R-' || doc_id || '"]'), 1, 24) AS intake_id FROM documents""")
+def q_derived_ids(spark, sf_dir):
+    e = F.concat(F.lit("E-"), F.col("doc_id").cast("string"))
+    n = F.size(F.split("text", "\n", -1))
+    return documents(spark, sf_dir).select("doc_id", identity.segment_id(e, F.lit("r"), F.lit("/p=1"), F.lit(1), n, F.sha2("text", 256)).alias("segment_id"), identity.mention_id(e, F.lit(7), F.lit(0), F.lit(3), F.lit("home")).alias("mention_id"), identity.intake_id(F.lit("o"), F.col("source"), F.concat(F.lit("R-"), F.col("doc_id").cast("string"))).alias("intake_id"))
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'duplicate' WHEN 2 THEN 'constant' ELSE 'syntax' END AS kind FROM events")
+def q_strict_json(spark, sf_dir):
+    from lodestrata.sources.tabular import json_faults
+
+    m = F.col("event_id") % 4
+    said = F.when(m == 0, F.col("props")).when(m == 1, '{"a": 1, "a": 2}').when(m == 2, '{"a": NaN}').otherwise('{"a": ')
+    found = table(spark, sf_dir, "events").select("event_id", m.alias("m"), json_faults(said).alias("fault"))
+    kind = F.when(F.col("fault").isNull(), None).when(F.col("m") == 1, F.lit("duplicate")).when(F.col("m") == 2, F.lit("constant")).otherwise("syntax")
+    return found.select("event_id", kind.alias("kind"))
+
+
+def _root(spark, name):
+    import uuid
+
+    from lodestrata.session import shared_dir
+
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT doc_id, lang, md5(text) AS h FROM documents")
+def q_published_release(spark, sf_dir):
+    """A release is put in place whole, logged, pointed to, and read through its pointer."""
+    from lodestrata.sources import sinks
+
+    root = _root(spark, "releases")
+    d = documents(spark, sf_dir).select("doc_id", "lang", F.md5("text").alias("h"))
+    sinks.publish(d.where("doc_id % 2 = 0"), root, "run1", "2026-01-01T00:00:00Z")
+    sinks.publish(d, root, "run2", "2026-01-02T00:00:00Z")
+    return spark.read.parquet(sinks.pointed(spark, f"{root}/CURRENT")["path"] + "/release")
+
+
+@query("SELECT unnest([1, 2, 3, 4]) AS step, unnest([true, false, false, true]) AS wrote")
+def q_rebuilt_index(spark, sf_dir):
+    """An index is written again only if its rows change, whatever their order."""
+    from lodestrata.sources import sinks
+
+    root = _root(spark, "index")
+    d = documents(spark, sf_dir).select("doc_id", "lang", F.md5("text").alias("h"))
+    tries = [d, d, d.repartition(3, "h"), d.where("doc_id <> 7")]
+    return spark.createDataFrame([(i + 1, sinks.rebuilt(x, root)) for i, x in enumerate(tries)], "step int, wrote boolean")
+
+
+@query("SELECT lang, count(*) AS n, 'counts' AS ran FROM documents WHERE doc_id % 3 <> 0 GROUP BY lang")
+def q_resumed_run(spark, sf_dir):
+    """Stages whose receipts hold are taken over: a change of the last stage alone runs that one again."""
+    from lodestrata.operators import runs
+
+    root = _root(spark, "run")
+    d = documents(spark, sf_dir).select("doc_id", "lang")
+    keep = ("kept", lambda s, t: t["documents"].where("doc_id % 3 <> 0"))
+    count = ("counts", lambda s, t: t["kept"].groupBy("lang").agg(F.count("*").alias("n")))
+    runs.run(spark, root, {"documents": d}, [keep])
+    tables, ran = runs.run(spark, root, {"documents": d.repartition(2, "doc_id")}, [keep, count])
+    return tables["counts"].withColumn("ran", F.lit(",".join(ran)))
+
+
+@query("SELECT 'R' || p_partkey || ' -->|\"' || replace(replace(p_brand, '#', '#35;'), '&', '#38;') || '\"| R' || p_size AS line FROM part")
+def q_diagram_lines(spark, sf_dir):
+    from lodestrata.operators.views import diagram
+
+    node = lambda c: F.concat(F.lit("R"), F.col(c).cast("string"))
+    return diagram(table(spark, sf_dir, "part").select(node("p_partkey").alias("src"), F.col("p_brand").alias("type"), node("p_size").alias("dst")))
