@@ -322,6 +322,36 @@ def q_csv_cells(spark, sf_dir):
     return read_csv(files.select("id", F.encode(F.concat(F.lit('key;"a ""name"""\n'), "body"), "utf-8").alias("raw")), "id", "raw", ";", "first-row")
 
 
+CAPTURED = "f AS (SELECT doc_id AS i, lang || '/' || CASE doc_id % 6 WHEN 0 THEN 'Notes by Gemini ' || doc_id || '.md' WHEN 1 THEN doc_id || '.exe' ELSE doc_id || '.md' END AS path, CASE WHEN doc_id % 6 = 1 THEN 'unsupported_extension' WHEN doc_id % 7 = 2 THEN 'holds_nul' WHEN doc_id % 7 = 3 THEN 'not_utf8' END AS issue, text FROM documents)"
+
+
+def _captured(spark, sf_dir):
+    from lodestrata.sources import capture
+
+    i = F.col("doc_id")
+    name = F.when(i % 6 == 0, F.concat(F.lit("Notes by Gemini "), i.cast("string"), F.lit(".md"))).when(i % 6 == 1, F.concat(i.cast("string"), F.lit(".exe"))).otherwise(F.concat(i.cast("string"), F.lit(".md")))
+    raw = F.encode("text", "utf-8")
+    content = F.when(i % 7 == 2, F.concat(raw, F.unhex(F.lit("00")))).when(i % 7 == 3, F.concat(raw, F.unhex(F.lit("FFFE")))).otherwise(raw)
+    files = documents(spark, sf_dir).select(F.col("source").alias("source_id"), F.concat("lang", F.lit("/"), name).alias("relative_path"), F.octet_length(content).cast("long").alias("length"), content.alias("content"))
+    return capture.texts(files, "demo", "meetings")
+
+
+@query(f"WITH {CAPTURED} SELECT path AS relative_path, issue, CASE WHEN issue IS NULL AND trim(text, ' ' || chr(10) || chr(9)) = '' THEN 'blank_file' WHEN i % 6 = 0 THEN 'ai_generated_source' END AS warning, CASE WHEN issue IS NULL THEN md5(text) END AS h FROM f")
+def q_captured_texts(spark, sf_dir):
+    return _captured(spark, sf_dir).select("relative_path", "issue", "warning", F.md5("text").alias("h"))
+
+
+@query(f"WITH {CAPTURED}, p AS (SELECT *, CASE WHEN i % 4 = 1 THEN CASE WHEN i % 8 = 1 THEN 'provenance_incomplete' END ELSE 'provenance_missing' END AS a, CASE WHEN i % 4 = 1 AND i % 3 = 0 THEN 'ai_generated_source' WHEN NOT (i % 4 = 1 AND i % 3 = 1) AND i % 6 = 0 THEN 'ai_generated_source' END AS b FROM f) SELECT path AS relative_path, unnest(list_filter([a, b], lambda x: x IS NOT NULL)) AS code FROM p")
+def q_provenance_warnings(spark, sf_dir):
+    from lodestrata.sources import capture
+
+    files = _captured(spark, sf_dir)
+    i = F.regexp_extract("relative_path", r"(\d+)\.", 1).cast("long")
+    known = files.where(i % 4 == 1).select("source_id", "relative_path", F.create_map(F.lit("tabs"), F.when(i % 8 == 1, "unknown").otherwise("preserved")).alias("features"), F.array().cast("array<string>").alias("limitations"), F.when(i % 3 == 0, "mixed").when(i % 3 == 1, "human").alias("authorship"))
+    found = capture.provenance_warnings(files, known)
+    return files.select("evidence_id", "relative_path").join(found, "evidence_id").select("relative_path", "code")
+
+
 @query("""SELECT conv_id * 100 + turn AS id, 0 AS ordinal, '/header=From' AS locator, 'header' AS content_type, role AS text FROM conversations UNION ALL SELECT conv_id * 100 + turn, 1, '/header=Subject', 'header', 'turn ' || turn FROM conversations
 UNION ALL SELECT conv_id * 100 + turn, 2, '/part=1/run=1', 'body', 'start' FROM conversations UNION ALL SELECT conv_id * 100 + turn, 3, '/part=1/run=2', 'quoted_reply', '> ' || conv_id || chr(10) || '> said' FROM conversations UNION ALL SELECT conv_id * 100 + turn, 4, '/part=1/run=3', 'body', 'end' FROM conversations""")
 def q_mail_runs(spark, sf_dir):
