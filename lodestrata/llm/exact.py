@@ -1,7 +1,7 @@
 """Exact deduplication by content sort.
 
 Texts are equal when they are identical without white space. Rows are dealt
-by sampled splitters over (head of the normalised bytes, hash, doc_id), so
+by sampled splitters over (the first HEAD normalised bytes, hash, doc_id), so
 that equal texts come to lie in one run of neighbouring partitions and also
 a group with a third of all rows is spread over many; an external sort of
 each partition puts equals side by side, and neighbours are compared in full.
@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import SPACE, arrow_schema, in_batches, table, text_column
+from lodestrata.llm.common import SPACE, arrow_schema, fresh, in_batches, table, text_column
 from lodestrata.session import written
 
-#: Characters of the normalised text that splitters hold; bounds what sampling sends to the driver.
-HEAD = 24
+#: Bytes of the normalised text that splitters hold; bounds what sampling sends to the driver.
+HEAD = 64
 
 SORTED, SORTED_ARROW = arrow_schema(doc_id="long", n="long", sha="string", run="string", member="long", edge="string")
 
@@ -66,7 +66,7 @@ def classes(docs: DataFrame) -> DataFrame:
     text = text_column()
     norm = F.regexp_replace(text, f"{SPACE}+", "")
     rows = docs.select("doc_id", F.length(text).cast("long").alias("n"), norm.alias("norm"))
-    keyed = rows.select("doc_id", "n", F.sha2("norm", 256).alias("sha"), F.substring("norm", 1, HEAD).alias("head"), F.xxhash64("norm").alias("h"), "norm")
+    keyed = rows.select("doc_id", "n", F.sha2("norm", 256).alias("sha"), F.substring(F.encode("norm", "utf-8"), 1, HEAD).alias("head"), F.xxhash64("norm").alias("h"), "norm")
     ranged = keyed.repartitionByRange("head", "h", "doc_id").sortWithinPartitions("head", "h", "norm", F.desc("n"), F.asc_nulls_last("doc_id"))
 
     def make():
@@ -74,7 +74,7 @@ def classes(docs: DataFrame) -> DataFrame:
 
         return _runs(TaskContext.get().partitionId())
 
-    t = written(_with_end(ranged, make), "sorted")
+    t = written(in_batches(ranged, make, SORTED, ends=True), "sorted")
     members = t.where("member is not null")
     # Parts of one text in several partitions: at most two keys' runs for a partition.
     edges = t.where("edge is not null").select("run", "edge").distinct()
@@ -86,24 +86,12 @@ def classes(docs: DataFrame) -> DataFrame:
     return members.join(stay, "run").select("doc_id", "n", "sha", "group_size", F.col("keep.doc_id").alias("keep_id"), (F.col("member") == F.col("keep.member")).alias("kept"))
 
 
-def _with_end(df: DataFrame, make: Callable) -> DataFrame:
-    """in_batches, with a call for the end of the partition."""
-
-    def run(batches):
-        step = make()
-        for batch in batches:
-            yield from step(batch)
-        yield from step(None)
-
-    in_batches(df, lambda: None, SORTED)  # sets the batch size
-    return df.mapInArrow(run, SORTED)
-
-
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns: of equal texts the longest, then the smallest doc_id."""
     norm = F.regexp_replace(text_column(), f"{SPACE}+", "")
-    keep = classes(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("sha").alias("__sha"), F.col("n").alias("__n"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.sha2(norm, 256) == F.col("__sha")) & (F.length(text_column()) == F.col("__n"))
+    ident, sha, n = fresh(docs, "__id", "__sha", "__n")
+    keep = classes(docs).where("kept").select("doc_id", "sha", "n").toDF(ident, sha, n)
+    same = F.col("doc_id").eqNullSafe(F.col(ident)) & (F.sha2(norm, 256) == F.col(sha)) & (F.length(text_column()) == F.col(n))
     return docs.join(keep, same, "left_semi")
 
 

@@ -37,3 +37,11 @@ def test_equals_brute_force(spark):
 
 def test_empty_table(spark):
     assert exact.classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_names_that_clash_and_heads_that_are_equal(spark):
+    head = "a" * 500
+    rows = [(1, head + "x", "p", "q"), (2, head + " x", "p", "q"), (3, head + "y", "p", "q"), (4, "é" * 100, "p", "q"), (5, "é " * 100, "p", "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __id string, __sha string")
+    kept = exact.deduplicated(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 5]
