@@ -4,7 +4,7 @@ Statistics of each whole text are computed once. A list of conjunctions of
 thresholds is learned by sequential covering from the statistics of labelled
 documents: a rule grows, condition by condition, by the information it gains
 on two thirds of the rows, is pruned from its end as long as that does not
-hurt its precision on the other third, and is taken if it is precise enough;
+hurt its precision on the other third, and is taken if it is precise enough there;
 rows that it covers leave, and the next rule is grown on the rest. Rules that
 find low quality become an ordered Spark conditional expression. Copies count
 once, so that a group of copies cannot make a rule by itself.
@@ -155,7 +155,8 @@ def learn(rows: list[dict[str, float]], precision: float = 0.9, least: int = 8,
         while len(rule) > 1 and worth(rule[:-1]) >= worth(rule):
             rule.pop()
         hit = [x["bad"] for x in rows if rule and _covers(rule, x)]
-        if not rule or sum(hit) < least or sum(hit) < precision * len(hit):
+        apart = [x["bad"] for x in prune if rule and _covers(rule, x)]  # rows that did not grow it
+        if sum(hit) < least or not apart or sum(apart) < precision * len(apart):
             break
         rules.append(rule)
         grow, prune, rows = ([x for x in part if not _covers(rule, x)] for part in (grow, prune, rows))
