@@ -9,6 +9,8 @@ rebuilt_segments segment_id, evidence_id, ordinal, start, end: segments made aga
 live             evidence_id, sha256: what the sources hold now
 run              run_id, project_id, schema_version (one row)
 bindings         project_id, run_id, artefact, reviewed, released: digests that a review approved and that a release holds
+permissions      run_id, target_project, this_run, this_project, authorised_by, reason, authorised_at: who allowed prior knowledge to be kept
+dependencies     project_id, artefact, pinned, live: digests of what a context was made of, then and now
 locations        run_id, expected_location, location, expected_config, config: digests
 """
 
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestrata.operators.referrals import human
 from lodestrata.operators.rules import _of, _twice, rule
 
 # Versions of records that the engine reads.
@@ -74,3 +77,12 @@ def _(t):
 def _(t):
     x = t["locations"]
     return _of(x.where("not (expected_location <=> location)"), "run_id", "moved").unionByName(_of(x.where("not (expected_config <=> config)"), "run_id", "another configuration"))
+
+
+@rule("V55_context", "permissions", "dependencies")
+def _(t):
+    p = t["permissions"]
+    other = p.where("not (run_id <=> this_run) or not (target_project <=> this_project)")
+    blank = p.where(~human(F.col("authorised_by"), F.col("reason"), F.col("authorised_at"), F.lit("0001-01-01").cast("timestamp"), F.current_timestamp()))
+    stale = t["dependencies"].where("not (pinned <=> live)")
+    return _of(other, "run_id", "another run or project").unionByName(_of(blank, "run_id", "no person, reason or time")).unionByName(_of(stale, F.concat_ws(":", "project_id", "artefact"), "changed since the context was made"))

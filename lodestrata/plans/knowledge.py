@@ -365,6 +365,14 @@ def q_mail_runs(spark, sf_dir):
     return per_document(c.select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.encode(raw, "utf-8").alias("raw")), "id", "raw", read_eml, pa.binary())
 
 
+@query("SELECT doc_id, 'snapshots/E-' || doc_id || '.original' || e AS original, 'snapshots/E-' || doc_id || '.evidence.md' AS text, 'snapshots/E-' || doc_id || '.extraction.json' AS metadata FROM (SELECT doc_id, ['.docx', '.pdf', '.csv'][doc_id % 3 + 1] AS e FROM documents)")
+def q_artefact_paths(spark, sf_dir):
+    from lodestrata.sources.capture import artefact_paths
+
+    e = F.element_at(F.array(F.lit(".docx"), F.lit(".pdf"), F.lit(".csv")), (F.col("doc_id") % 3 + 1).cast("int"))
+    return documents(spark, sf_dir).select("doc_id", artefact_paths(F.concat(F.lit("E-"), F.col("doc_id").cast("string")), e).alias("p")).select("doc_id", "p.*")
+
+
 # ---- selections, orders, subsets
 
 @query("""WITH r AS (SELECT doc_id, 2 AS a, 3 AS b FROM documents WHERE n_chars > 0 AND len(string_split(text, chr(10))) >= 3 AND doc_id % 2 = 0), n AS (SELECT doc_id, len(string_split(text, chr(10)))::INT AS lines FROM documents), w AS (SELECT doc_id, 1 AS a, lines AS b FROM n WHERE doc_id % 3 = 0),

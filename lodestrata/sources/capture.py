@@ -87,3 +87,11 @@ def unused_provenance(files: DataFrame, provenance: DataFrame) -> DataFrame:
 def prior_runs(runs: DataFrame, project: str, current: str) -> DataFrame:
     """All other runs of the project, blocked ones included: they took a sequence number."""
     return runs.where((F.col("project_id") == project) & (F.col("run_id") != current))
+
+
+def artefact_paths(evidence: Column, ext: Column) -> Column:
+    """struct(original, text, metadata): where the frozen parts of a document lie below its run; an id or extension that is none raises."""
+    known = evidence.startswith("E-") & ext.isin(*globs.DOCUMENT_EXTENSIONS, ".csv")
+    at = F.concat(F.lit("snapshots/"), evidence)
+    paths = F.struct(F.concat(at, F.lit(".original"), ext).alias("original"), F.concat(at, F.lit(".evidence.md")).alias("text"), F.concat(at, F.lit(".extraction.json")).alias("metadata"))
+    return F.when(known, paths).otherwise(F.raise_error(F.concat(F.lit("no document: "), evidence, ext)).cast("struct<original:string,text:string,metadata:string>"))

@@ -231,6 +231,8 @@ def routed(spark):
     t["live"] = t["files"].select("evidence_id", "sha256")
     t["run"] = spark.createDataFrame([("run1", "home", "0.6")], "run_id string, project_id string, schema_version string")
     t["bindings"] = spark.createDataFrame([("home", "run1", "records.json", "d", "d")], "project_id string, run_id string, artefact string, reviewed string, released string")
+    t["permissions"] = spark.createDataFrame([("run1", "home", "run1", "home", "Ada", "kept for audit", "2026-01-01")], "run_id string, target_project string, this_run string, this_project string, authorised_by string, reason string, authorised_at string").withColumn("authorised_at", F.to_timestamp("authorised_at"))
+    t["dependencies"] = spark.createDataFrame([("far", "records.json", "d", "d")], "project_id string, artefact string, pinned string, live string")
     t["locations"] = spark.createDataFrame([("run1", "l", "l", "c", "c")], "run_id string, expected_location string, location string, expected_config string, config string")
     t["requests"] = spark.createDataFrame([("Q1", "E1", 1, 2)], "request_id string, evidence_id string, start int, end int")
     return t
@@ -245,7 +247,7 @@ ROUTING = [
     ("manual_mentions", {"quote": "'x'"}, "V34_manual_references"), ("manual_mentions", {"representation_sha256": "'x'"}, "V34_manual_references"), ("manual_mentions", {"end": "9"}, "V34_manual_references"), ("manual_mentions", {"target": "'far'"}, "V34_manual_references"), ("manual_mentions", {"target": "'home'"}, "V34_manual_references"), ("manual_mentions", {"mention_id": "'M1'"}, "V34_manual_references"), ("selected", {"start": "2"}, "V34_manual_references_selected"),
     ("intake", {"expected_id": "'I9'"}, "V53_intake_identities"), ("intake", {"origin_project": "'home'"}, "V53_intake_identities"), ("intake", {"source_status": "'stale'"}, "V53_intake_status_is_the_last_observed"), ("observations", {"ordinal": "-ordinal"}, "V53_intake_status_is_the_last_observed"),
     ("decisions", {"reviewer": "' '"}, "V53_intake_decisions"), ("decisions", {"reviewed_at": "timestamp'2025-01-01'"}, "V53_intake_decisions"), ("decisions", {"reviewed_at": "timestamp'2999-01-01'"}, "V53_intake_decisions"), ("decisions", {"capture_mode": "'full_file'"}, "V53_intake_decisions"), ("decisions", {"ordinal": "-ordinal"}, "V53_intake_decisions"), ("tasks", {"status": "'x'"}, "V53_intake_tasks"), ("decisions", {"decision": "'defer'"}, "V53_intake_tasks"), ("intake", {"supersedes": "'I9'"}, "V53_intake_lineage"), ("intake", {"supersedes": "item_id"}, "V53_intake_lineage"), ("intake", {"family": "item_id"}, "V53_intake_lineage"),
-    ("digests", {"found": "null"}, "V1_digests"), ("digests", {"name": "'manifest'"}, "V1_digests"), ("scope", {"found": "'x'"}, "V2_scope"), ("documents", {"text_sha256": "original_sha256"}, "V4_documents"), ("documents", {"text_path": "original_path"}, "V4_documents"), ("documents", {"evidence_id": "'E9'"}, "V4_documents"), ("rebuilt_segments", {"end": "1"}, "V7_segments_rebuild"), ("live", {"sha256": "'x'"}, "V8_live_bytes"), ("live", {"evidence_id": "'E9'"}, "V8_live_bytes"), ("run", {"run_id": "'run9'"}, "V9_records_of_the_run"), ("run", {"schema_version": "'9'"}, "V9_records_of_the_run"), ("bindings", {"released": "null"}, "V54_release_gate"), ("bindings", {"reviewed": "'x'"}, "V54_release_gate"), ("publications", {"run_id": "'run7'"}, "V54_release_gate"), ("locations", {"config": "'x'"}, "V59_location"), ("locations", {"location": "null"}, "V59_location"),
+    ("digests", {"found": "null"}, "V1_digests"), ("digests", {"name": "'manifest'"}, "V1_digests"), ("scope", {"found": "'x'"}, "V2_scope"), ("documents", {"text_sha256": "original_sha256"}, "V4_documents"), ("documents", {"text_path": "original_path"}, "V4_documents"), ("documents", {"evidence_id": "'E9'"}, "V4_documents"), ("rebuilt_segments", {"end": "1"}, "V7_segments_rebuild"), ("live", {"sha256": "'x'"}, "V8_live_bytes"), ("live", {"evidence_id": "'E9'"}, "V8_live_bytes"), ("run", {"run_id": "'run9'"}, "V9_records_of_the_run"), ("run", {"schema_version": "'9'"}, "V9_records_of_the_run"), ("bindings", {"released": "null"}, "V54_release_gate"), ("bindings", {"reviewed": "'x'"}, "V54_release_gate"), ("publications", {"run_id": "'run7'"}, "V54_release_gate"), ("permissions", {"run_id": "'run9'"}, "V55_context"), ("permissions", {"reason": "' '"}, "V55_context"), ("permissions", {"authorised_at": "timestamp'2999-01-01'"}, "V55_context"), ("dependencies", {"live": "null"}, "V55_context"), ("locations", {"config": "'x'"}, "V59_location"), ("locations", {"location": "null"}, "V59_location"),
     ("requests", {"end": "3"}, "V56_requests"), ("requests", {"evidence_id": "'E9'"}, "V56_requests"), ("projects", {"id": "'other'"}, "V61_target_is_registered"),
 ]
 
@@ -333,3 +335,23 @@ def test_preceding_headings_and_pages(spark):
     got = views.pages(many, ["kind"], "o", F.col("l"), size=10).collect()
     assert sorted((r.kind, r.page, r.text.count("\n") + 1) for r in got) == [("j", 1, 1), ("k", 1, 10), ("k", 2, 10), ("k", 3, 5)]
     assert "\n".join(r.text for r in sorted(got, key=lambda r: r.page) if r.kind == "k") == "\n".join(f"l{i}" for i in range(25))
+
+
+def test_briefings_and_reports(spark):
+    from lodestrata.operators import context
+
+    rows = spark.createDataFrame([(2, "b", "observed", "second"), (1, "a", "proposal", "first")], "place int, key string, epistemic_status string, statement string")
+    said = context.briefing(rows, 3).first().briefing
+    assert said.startswith("PRIOR KNOWLEDGE") and "a [proposal]: first\nb [observed]: second\nOmitted results: 3." in said
+    assert context.report(None) == {"context_mode": "explicit_none", "context_check": "frozen_integrity", "context_omitted_count": 0}
+    assert context.report(rows, 3, True) == {"context_mode": "pinned_prior_knowledge", "context_check": "prospective", "context_omitted_count": 3}
+
+
+def test_artefact_paths_are_checked(spark):
+    from lodestrata.sources.capture import artefact_paths
+
+    df = spark.createDataFrame([("E-1", ".docx")], "e string, x string")
+    assert df.select(artefact_paths(F.col("e"), F.col("x")).alias("p")).first().p.original == "snapshots/E-1.original.docx"
+    for bad in (("F-1", ".docx"), ("E-1", ".exe")):
+        with pytest.raises(Exception, match="no document"):
+            spark.createDataFrame([bad], "e string, x string").select(artefact_paths(F.col("e"), F.col("x"))).collect()
