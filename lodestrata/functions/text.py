@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 #: Line ends as Python's splitlines() knows them.
 LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+# Fixed value: what a token is.
 _TOKEN = re.compile("[^\\W_][\\w\u0300-\u036f]*")
 
 
