@@ -47,7 +47,7 @@ from lodestrata.session import written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words that a task remembers, and distinct terms counted in it before they are handed on.
-HELD = 100_000
+HELD = 400_000
 STRIP = ".,;:!?()[]{}\"'«»<>"
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
