@@ -37,9 +37,9 @@ from lodestrata.session import written
 
 CAPACITY = 2048
 #: Characters of text tokenised at a time; longer texts are cut at white space.
-BLOCK = 12_000_000
+BLOCK = 6_000_000
 #: Tokenizer pieces that a task remembers the ids of, and their characters; beyond either it starts anew.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 8_000_000
+REMEMBERED, REMEMBERED_CHARS = 250_000, 5_000_000
 #: Words whose ids are put in place at a time.
 PLACED = 500_000
 

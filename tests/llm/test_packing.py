@@ -129,3 +129,34 @@ def test_plans_against_the_fewest_bins():
         if large:
             assert check_plan({n: large.count(n) for n in large}, capacity) == least_bins(large, capacity)
     assert more <= 20
+
+
+def test_long_texts_in_slices_and_caches_that_start_anew(monkeypatch):
+    """The same pieces whatever a block holds and a task remembers; in this process, so that both can be small."""
+    import pyarrow as pa
+
+    made = {}
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def drop(self, *_):
+            return self
+
+    monkeypatch.setattr(packing, "in_batches", lambda df, make, schema, ends: made.setdefault("make", make) and df)
+    monkeypatch.setattr(packing, "BLOCK", 300)
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    packing.pieces(Docs(), PATH)
+    data = [(i, t) for i, (d, t) in enumerate(rows()) if len(t or "") < 20_000] + [(1000, "x" * 1000), (1001, "\n".join(["déjà vu"] * 3000))]
+    step, out = made["make"](), []
+    for k in range(0, len(data), 7):
+        ids, texts = zip(*data[k : k + 7], strict=True)
+        out += [x for b in step(pa.record_batch([pa.array(ids), pa.array(texts, pa.string())], ["doc_id", "text"])) for x in b.to_pylist()]
+    out += [x for b in step(None) for x in b.to_pylist()]
+    t = Tokenizer.from_file(PATH)
+    want = []
+    for d, x in data:
+        ids = t.encode(x or "", add_special_tokens=False).ids + [0]
+        want += [(d, i // 2048, i, len(ids[i : i + 2048]), zlib.crc32(np.array(ids[i : i + 2048], "<u4").tobytes())) for i in range(0, len(ids), 2048)]
+    assert sorted((x["doc_id"], x["piece"], x["start"], x["length"], x["ids_crc32"]) for x in out) == sorted(want)
