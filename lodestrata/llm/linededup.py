@@ -57,7 +57,9 @@ def blocks(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     whole = docs.where("text is not null").select(_key().alias("k"), "doc_id", F.filter(each, lambda x: x["w"] > 0).alias("lines"))
     whole = whole.groupBy("k").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("lines").alias("lines"))
     n, total = F.size("lines"), F.aggregate("lines", F.lit(0), lambda a, x: a + x["w"])
-    rows = whole.select("k", "doc_id", n.alias("n"), total.alias("total"), F.explode("lines").alias("x")).select("k", "doc_id", "n", "total", "x.*")
+    # Counted in a step of its own: beside explode, each line's row would carry the whole array.
+    counted = whole.select("k", "doc_id", n.alias("n"), total.alias("total"), "lines")
+    rows = counted.select("k", "doc_id", "n", "total", F.explode("lines").alias("x")).select("k", "doc_id", "n", "total", "x.*")
     order = Window.partitionBy("k").orderBy("pos")
     rows = rows.select("*", F.row_number().over(order).alias("r"), (F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")).alias("before"))
     ahead = Window.partitionBy("k").orderBy("before").rangeBetween(0, min_words - 1)
