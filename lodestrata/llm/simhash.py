@@ -18,9 +18,15 @@ so that no task holds a large bucket and no pair of its nodes is left out.
 `components` and `representatives` link fingerprints of shingles within the
 radius. `near_representatives` decides by the similarity of the sets of
 shingles: word edits that change a fifth of the shingles of five words leave
-most single words, so that candidates come from 128-bit fingerprints of the
-distinct words, in three parts of radius 4, that is, at up to 14 differing
-bits; each link is then held to the texts' exact similarity.
+most single words, so that the first candidates come from 128-bit fingerprints
+of the distinct words, in three parts of radius 4, that is, at up to 14
+differing bits; each link is then held to the texts' exact similarity. No
+fingerprint is certain to show every pair so similar, and a forest of the
+nearest is not one of the most similar. So a second pass makes up for both: of
+n shingles in a common order, two sets so similar share one of their first
+n - ceil(similarity * n) + 1, and each pair of different parts that shares
+enough of these for the similarity to be possible is held to it as well. What
+is linked is then exactly what all pairs would link.
 
 Cases: a text without words has fingerprint zero and links like any other;
 null texts count as empty; a text of fewer words than a shingle is one
@@ -32,6 +38,7 @@ carried by `representatives` and `near_representatives`.
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 
@@ -40,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import arrow_schema, fresh, in_batches, likely, small_batches, table, text_column
+from lodestrata.llm.common import arrow_schema, fresh, hashed_share, in_batches, likely, small_batches, table, text_column
 from lodestrata.operators.graph import connected_components
 from lodestrata.session import written
 
@@ -51,7 +58,10 @@ BRUTE = 4_096
 SMALL = 48
 #: Shingles counted at a time.
 CHUNK = 65_536
-
+#: Contents whose shingles are counted for the order of shingles, and shingles that come last in it. Results don't depend on the order.
+SAMPLE, OFTEN = 4_096, 65_536
+#: Contents that a task remembers as done; beyond it starts anew.
+SEEN = 100_000
 
 
 def fingerprint(text: str, width: int = 4, seed: int = 42) -> int:
@@ -314,6 +324,7 @@ def representatives(docs: DataFrame, radius: int = 4, width: int = 4, brute: int
 
 CONTENT, CONTENT_ARROW = arrow_schema(doc_id="long", k="long", c="long", f0="long", f1="long")
 SHINGLES, SHINGLES_ARROW = arrow_schema(c="long", shingles="array<long>")
+FIRST, FIRST_ARROW = arrow_schema(c="long", n="long", rest="long", late="long", last="long", first="array<long>")
 
 
 def word_print(words: list[bytes]) -> tuple[int, int]:
@@ -335,24 +346,48 @@ def word_print(words: list[bytes]) -> tuple[int, int]:
 
 def shingles(text: str, width: int) -> list[int]:
     """Hashes of a text's distinct shingles, as signed longs."""
+    return _shingles(text.encode().lower().split(), width).tolist()
+
+
+def _shingles(words: list[bytes], width: int) -> np.ndarray:
     import xxhash
 
-    words = text.encode().lower().split()
     parts: Iterator[bytes] = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else iter([b" ".join(words)])
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64)).view(np.int64).tolist()
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64)).view(np.int64)
+
+
+def content(words: list[bytes]) -> int:
+    """A hash of the words in order, as a signed long."""
+    import xxhash
+
+    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words), 7)).view(np.int64))
+
+
+def first_of(found: np.ndarray, similarity: float, often: np.ndarray, places: np.ndarray) -> tuple[int, int, int, int, np.ndarray]:
+    """Of distinct shingles: how many there are, how many don't come first, the last that does (its place among the frequent ones or 0, and itself) and those that come first.
+
+    The order: by hash, but the frequent ones (sorted; each has a place from 1)
+    come after all others, by place.
+    """
+    n = len(found)
+    rest = max(0, math.ceil(similarity * n - 1e-6) - 1)
+    place = np.zeros(n, np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, found), len(often) - 1)
+        place = np.where(often[at] == found, places[at], 0)
+    first = np.lexsort((found, place))[: n - rest]
+    return n, rest, int(place[first[-1]]), int(found[first[-1]]), found[first]
 
 
 def _contents(keyed: DataFrame) -> DataFrame:
     """doc_id, k, c (a hash of the words in order) and the word fingerprint for each row."""
 
     def make():
-        import xxhash
-
         def step(batch: pa.RecordBatch):
             rows = []
             for t in batch.column(1).to_pylist():
                 words = (t or "").encode().lower().split()
-                rows.append((int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words), 7)).view(np.int64)), *word_print(words)))
+                rows.append((content(words), *word_print(words)))
             c, f0, f1 = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(x, pa.int64()) for x in (c, f0, f1))], schema=CONTENT_ARROW)
 
@@ -361,49 +396,118 @@ def _contents(keyed: DataFrame) -> DataFrame:
     return in_batches(keyed, make, CONTENT)
 
 
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *rows])))
+
+
 def _shingled(texts: DataFrame, width: int) -> DataFrame:
     def make():
         def step(batch: pa.RecordBatch):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t or "", width) for t in batch.column(1).to_pylist()], SHINGLES_ARROW.types[1])], schema=SHINGLES_ARROW)
+            found = [_shingles((t.as_py() or "").encode().lower().split(), width) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(found)], schema=SHINGLES_ARROW)
 
         return step
 
     return in_batches(texts, make, SHINGLES)
 
 
+def _firsts(docs: DataFrame, width: int, similarity: float, often: list[int]) -> DataFrame:
+    """c and what `first_of` says of its shingles, for each content; often: the frequent shingles, the most frequent last."""
+    common = np.array(often, np.int64)
+
+    def make():
+        by = np.argsort(common)
+        ordered, places, seen = common[by], by + 1, set()
+
+        def step(batch: pa.RecordBatch):
+            rows: list[tuple] = []
+            for t in batch.column(0):
+                words = (t.as_py() or "").encode().lower().split()
+                c = content(words)
+                if c in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(c)
+                rows.append((c, *first_of(_shingles(words, width), similarity, ordered, places)))
+            if rows:
+                *longs, first = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in longs), _lists(list(first))], schema=FIRST_ARROW)
+
+        return step
+
+    found = in_batches(docs.select("text"), make, FIRST).groupBy("c").agg(F.any_value(F.struct("n", "rest", "late", "last", "first")).alias("x"))
+    return found.select("c", "x.*")
+
+
+def _possible(firsts: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b, far: the more first shingles they share, the less) of contents of different parts; those left out are not so similar.
+
+    Where a's first shingles end before b's, all of them that b has are among
+    b's first, so that both share no more than these and a's rest.
+    """
+    t = written(firsts.join(parts.hint("merge"), "c", "left").withColumn("part", F.coalesce("part", "c")), "firsts")
+    rows = t.select(F.explode("first").alias("w"), "c", "part", "n", "rest", "late", "last")
+    shared = written(rows.groupBy("w").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("w"), "shared")
+    met = written(likely(rows, F.col("w"), shared, "may").where("may").drop("may").join(shared.hint("merge"), "w"), "met")
+    one, two = (met.select("w", *[F.col(x).alias(f"{x}{i}") for x in met.columns[1:]]) for i in "12")
+    n1, n2 = F.col("n1"), F.col("n2")
+    apart = (F.col("c1") < F.col("c2")) & (F.col("part1") != F.col("part2"))
+    sizes = F.least(n1, n2) >= F.lit(similarity) * F.greatest(n1, n2) - 1e-6
+    pairs = one.join(two.hint("merge"), "w").where(apart & sizes).groupBy("c1", "c2", "n1", "n2", "rest1", "rest2", "late1", "late2", "last1", "last2").agg(F.count("*").alias("s"))
+    need = F.lit(similarity / (1 + similarity)) * (n1 + n2) - 1e-6
+    end1, end2 = (F.struct(F.col(f"late{i}").alias("late"), F.col(f"last{i}").alias("last")) for i in "12")
+    enough = ((end1 > end2) | (F.col("s") + F.col("rest1") >= need)) & ((end2 > end1) | (F.col("s") + F.col("rest2") >= need))
+    return pairs.where(enough).select(F.col("c1").alias("a"), F.col("c2").alias("b"), (-F.col("s")).alias("far"))
+
+
 def similar(docs: DataFrame, t: DataFrame, width: int, similarity: float, brute: int = BRUTE) -> DataFrame:
-    """c and part for each content that has a link: links join contents with so similar sets of shingles."""
+    """c and part for each content that has a link: parts are those of all pairs of contents with so similar sets of shingles."""
     nodes = written(t.groupBy("c").agg(F.any_value("f0").alias("f0"), F.any_value("f1").alias("f1"), F.min("k").alias("k")), "contents")
-    found = written(links(nodes.select(F.col("c").alias("id"), "f0", "f1"), tables(128, 3, 4), 14, brute), "candidates")
-    ends = found.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    k2, key, c2, may = fresh(docs, "__k", "__key", "__c", "__may")
-    need = written(nodes.join(ends.hint("merge"), "c").select(F.col("k").alias(k2), F.col("c").alias(c2)), "needed")
-    marked = likely(docs.withColumn(key, _row_key()), F.col(key), need.select(k2), may).where(F.col(may))
-    texts = marked.join(need.hint("merge"), F.col(key) == F.col(k2)).groupBy(c2).agg(F.any_value("text").alias("text"))
-    sets = written(_shingled(texts, width), "shingles")
-
-    def held(pairs: DataFrame) -> DataFrame:
-        one, two = (sets.select(F.col("c").alias(x), F.col("shingles").alias(f"s{x}")).hint("merge") for x in "ab")
-        both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("n"), (F.size("sa") + F.size("sb")).alias("all"))
-        return both.where(F.col("n") >= F.lit(similarity) * (F.col("all") - F.col("n"))).select("a", "b")
-
-    # Each content's nearest candidate first; then those that would join what is not joined yet.
-    each = found.select("a", "b", "far", F.explode(F.array("a", "b")).alias("c"))
-    nearest = each.groupBy("c").agg(F.min(F.struct("far", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
-    good = written(held(nearest), "nearest")
-    parts = written(connected_components(good), "parts")
-    where = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"p{x}")).hint("merge")
-    apart = found.join(where("a"), "a", "left").join(where("b"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b"))
-    every = good.unionByName(held(apart))
-    return connected_components(written(every, "similar")).select(F.col("node").alias("c"), F.col("component").alias("part"))
+
+    def shingled(some: DataFrame) -> DataFrame:
+        """c and shingles for each row of `some` (c and k)."""
+        k2, key, c2, may = fresh(docs, "__k", "__key", "__c", "__may")
+        need = written(some.select(F.col("k").alias(k2), F.col("c").alias(c2)), "needed")
+        marked = likely(docs.withColumn(key, _row_key()), F.col(key), need.select(k2), may).where(F.col(may))
+        return _shingled(marked.join(need.hint("merge"), F.col(key) == F.col(k2)).groupBy(c2).agg(F.any_value("text").alias("text")), width)
+
+    def joined(found: DataFrame, known: DataFrame | None) -> DataFrame:
+        """The known links, and those of the pairs found that are so similar, but for pairs that are joined without."""
+        sets = written(shingled(nodes.join(found.select(F.explode(F.array("a", "b")).alias("c")).distinct().hint("merge"), "c")), "shingles")
+
+        def held(pairs: DataFrame) -> DataFrame:
+            one, two = (sets.select(F.col("c").alias(x), F.col("shingles").alias(f"s{x}")).hint("merge") for x in "ab")
+            both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("n"), (F.size("sa") + F.size("sb")).alias("all"))
+            return both.where(F.col("n") >= F.lit(similarity) * (F.col("all") - F.col("n"))).select("a", "b")
+
+        # Each content's nearest candidate first; then those that would join what is not joined yet.
+        each = found.select("a", "b", "far", F.explode(F.array("a", "b")).alias("c"))
+        nearest = held(each.groupBy("c").agg(F.min(F.struct("far", "a", "b")).alias("x")).select("x.a", "x.b").distinct())
+        good = written(nearest if known is None else known.unionByName(nearest), "nearest")
+        parts = written(connected_components(good), "parts")
+        where = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"p{x}")).hint("merge")
+        apart = found.join(where("a"), "a", "left").join(where("b"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b"))
+        return written(good.unionByName(held(apart)), "similar")
+
+    def parts_of(pairs: DataFrame) -> DataFrame:
+        return written(connected_components(pairs).select(F.col("node").alias("c"), F.col("component").alias("part")), "parts")
+
+    near = joined(written(links(nodes.select(F.col("c").alias("id"), "f0", "f1"), tables(128, 3, 4), 14, brute), "candidates"), None)
+    parts = parts_of(near)
+    sample = shingled(nodes.where(hashed_share(F.col("c"), SAMPLE, nodes.count())))
+    counts = sample.select(F.explode("shingles").alias("w")).groupBy("w").agg(F.count("*").alias("n")).where("n > 2")
+    often = [r.w for r in counts.orderBy(F.desc("n"), "w").limit(OFTEN).collect()]  # at most OFTEN rows
+    rest = written(_possible(_firsts(docs, width, similarity, often[::-1]), parts, similarity), "possible")
+    return parts if rest.isEmpty() else parts_of(joined(rest, near))
 
 
 def near_representatives(docs: DataFrame, similarity: float = 0.8, width: int = 5, brute: int = BRUTE) -> DataFrame:
     """The rows of docs that stay: of each group of near duplicates the one of the smallest doc_id, nulls last.
 
     Two texts are linked if their sets of shingles of `width` words, in small
-    letters, are so similar (intersection over union) and a nearest-first
-    forest of some table holds the pair; equal words always link.
+    letters, are so similar (intersection over union); equal words always link.
     """
     t = written(_contents(docs.select("doc_id", "text", _row_key().alias("k"))), "words")
     parts = written(similar(docs, t, width, similarity, brute), "parts")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from lodestrata.llm import simhash
@@ -109,6 +110,52 @@ def test_near_duplicates_by_similarity(spark, limit):
     assert got == sorted(first.values())
 
 
+def joined(sets, similarity=0.8):
+    part = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                a, b = part[i], part[j]
+                part = [min(a, b) if x in (a, b) else x for x in part]
+    return part
+
+
+@pytest.mark.parametrize("limit", [simhash.BRUTE, 5])
+def test_near_duplicates_whose_words_differ_much(spark, limit):
+    """Texts of few kinds of words: a few new ones change most of a fingerprint over kinds, and few of the shingles. Whole passages recur, and links make chains."""
+    r = random.Random(5)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for group in range(16):
+        base = [r.choice([f"a{group}", f"b{group}", "c", "d"]) for _ in range(160)]
+        for copy in range(r.randrange(1, 5)):
+            base = base + [f"n{group}x{copy}x{i}" for i in range(r.choice([4, 12, 30]))]
+            rows.append((len(rows), " ".join(base + (passage if group % 2 else []))))
+    rows += [(len(rows) + i, " ".join(["x"] * n)) for i, n in enumerate([5, 6, 900])] + [(900, " ".join(passage)), (901, " ".join(passage[:37])), (902, " ".join(passage[:30]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(x.doc_id for x in simhash.near_representatives(df, brute=limit).collect())
+    part = joined([set(simhash.shingles(t, 5)) for _, t in rows])
+    assert got == sorted({p: d for (d, _), p in reversed(list(zip(rows, part, strict=True)))}.values())
+
+
+def test_first_shingles_meet():
+    """Sets so similar share a first shingle, and as many as the bound that `_possible` uses says, whatever is frequent."""
+    r, met = random.Random(8), 0
+    for _ in range(3000):
+        similarity = r.choice([0.5, 0.8, 0.9, 1.0])
+        a = {r.randrange(-60, 60) for _ in range(r.randrange(1, 50))}
+        b = {x for x in a if r.random() < 0.95} | {r.randrange(-60, 60) for _ in range(r.randrange(4))} or {0}
+        if len(a & b) < similarity * len(a | b):
+            continue
+        often = np.array(sorted(r.sample(range(-60, 60), r.randrange(40))), np.int64)
+        places = np.array(r.sample(range(1, len(often) + 1), len(often)), np.int64)
+        (n1, rest1, *end1, first1), (n2, rest2, *end2, first2) = (simhash.first_of(np.array(sorted(x), np.int64), similarity, often, places) for x in (a, b))
+        s, need = len(set(first1) & set(first2)), similarity / (1 + similarity) * (n1 + n2) - 1e-6
+        assert s and (end1 > end2 or s + rest1 >= need) and (end2 > end1 or s + rest2 >= need)
+        met += 1
+    assert met > 500
+
+
 def test_names_that_clash(spark):
     df = spark.createDataFrame([(1, "a b c d e", 5), (2, "a b c d e", 6), (3, "x", 7)], "doc_id long, text string, __key long")
     assert sorted(simhash.representatives(df).collect()) == sorted(simhash.near_representatives(df).collect()) == [(1, "a b c d e", 5), (3, "x", 7)]
