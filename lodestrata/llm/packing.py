@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import SPACE, arrow_schema, in_batches, numbered, resident, table
+from lodestrata.llm.common import SPACE, arrow_schema, in_batches, numbered, released, resident, table
 from lodestrata.llm.merges import LONGEST, Merges
 from lodestrata.session import written
 
@@ -193,20 +193,26 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
 
         def flush():
             rows: list[tuple] = []
-            lists = pc.ascii_split_whitespace(pa.array([t for _, t, _ in held], pa.string()))
+            of = [(doc, last) for doc, _, last in held]
+            texts = pa.array([t for _, t, _ in held], pa.string())
+            held.clear()
+            lists = pc.ascii_split_whitespace(texts)
             counts = np.diff(lists.offsets.to_numpy())
             each = lists.flatten().dictionary_encode()
+            del texts, lists
             flat, sizes = model.ids(each.dictionary.to_pylist(), known)
             code, starts, sizes = each.indices.to_numpy(), (np.cumsum(sizes) - sizes).astype(np.int32), sizes.astype(np.int32)
             n = sizes[code]
             ids = np.concatenate([np.empty(0, np.int32), *(gathered(flat, starts[code[k : k + PLACED]], n[k : k + PLACED]) for k in range(0, len(code), PLACED))])
             until = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])[np.concatenate([[0], np.cumsum(counts)])]
-            for (doc, _, last), a, b in zip(held, until[:-1].tolist(), until[1:].tolist(), strict=True):
+            del each, flat, sizes, code, starts, n
+            for (doc, last), a, b in zip(of, until[:-1].tolist(), until[1:].tolist(), strict=True):
                 begun.append(ids[a:b])
                 if last:
                     cut(doc, np.concatenate([*begun, end]), rows)
                     begun.clear()
-            held.clear()
+            del ids
+            released()  # what a block took goes back before the next one's texts are held
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), PIECES_ARROW.types, strict=True)], schema=PIECES_ARROW)
 

@@ -1,5 +1,7 @@
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from lodestrata.llm import common
 from lodestrata.llm.common import hashed_share, numbered
 
 
@@ -22,3 +24,20 @@ def test_numbers_are_gapless_within_hot_groups(spark):
     for rows in by.values():
         rows.sort(key=lambda r: r.slot)
         assert [r.slot for r in rows] == list(range(len(rows))) and [r.i for r in rows] == sorted(r.i for r in rows)
+
+
+def test_workers_give_memory_back_within_a_task(spark, monkeypatch):
+    """Not only at a task's end: workers share the executor's memory while they run."""
+    seen, calls = {}, []
+
+    class Frame:
+        sparkSession = spark
+
+        def mapInArrow(self, run, schema):
+            seen["run"] = run
+
+    monkeypatch.setattr(common, "released", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * (6 << 20)])], ["text"])
+    common.in_batches(Frame(), lambda: lambda b: [b], "text string")
+    assert len(list(seen["run"](iter([batch] * 9)))) == 9
+    assert len(calls) == 4  # after each third batch, and at the end

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -160,3 +161,25 @@ def test_long_texts_in_slices_and_caches_that_start_anew(monkeypatch):
         ids = t.encode(x or "", add_special_tokens=False).ids + [0]
         want += [(d, i // 2048, i, len(ids[i : i + 2048]), zlib.crc32(np.array(ids[i : i + 2048], "<u4").tobytes())) for i in range(0, len(ids), 2048)]
     assert sorted((x["doc_id"], x["piece"], x["start"], x["length"], x["ids_crc32"]) for x in out) == sorted(want)
+
+
+def test_a_block_is_given_back_before_the_next(monkeypatch):
+    seen, calls = {}, []
+
+    class Frame:
+        def select(self, *names):
+            return self
+
+        def drop(self, name):
+            return self
+
+    monkeypatch.setattr(packing, "released", lambda: calls.append(1))
+    monkeypatch.setattr(packing, "in_batches", lambda df, make, schema, ends=False: seen.update(make=make) or df)
+    monkeypatch.setattr(packing, "BLOCK", 1000)
+    packing.pieces(Frame(), PATH)
+    step = seen["make"]()
+    texts = ["one two three " * 90] * 4 + ["", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], ["doc_id", "text"])
+    rows = [r for out in (*step(batch), *step(None)) for r in out.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(6)) and len({r["ids_crc32"] for r in rows}) == 2
+    assert len(calls) >= 5
