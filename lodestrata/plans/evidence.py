@@ -276,14 +276,14 @@ def q_quote_places(spark, sf_dir):
 SELECT q.quote_id, q.old_start::INT AS old_start, b.start::INT AS start, CASE WHEN b.start IS NULL THEN 'vanished' WHEN b.start = q.old_start THEN 'unchanged' ELSE 'moved' END AS status FROM q LEFT JOIN b ON b.quote_id = q.quote_id AND b.n = 1""")
 def q_reanchor_nearest(spark, sf_dir):
     q, new = _quotes(spark, sf_dir)
-    return quotes.anchored(q.select("quote_id", "old_start"), quotes.located(q, new))
+    return quotes.anchored(q.select("quote_id", "old_start"), quotes.located(q, new, carried=("old_start",)))
 
 
 @query(f"""WITH {QUOTES}, b AS (SELECT q.quote_id, CASE WHEN bool_or(a.quote_id IS NOT NULL AND a.start = q.old_start) THEN 'unchanged' WHEN bool_or(a.quote_id IS NOT NULL) THEN 'moved' ELSE 'vanished' END AS status FROM q LEFT JOIN places a ON a.quote_id = q.quote_id GROUP BY q.quote_id)
 SELECT status, count(*) AS n FROM b GROUP BY status""")
 def q_reanchor_histogram(spark, sf_dir):
     q, new = _quotes(spark, sf_dir)
-    return quotes.anchored(q.select("quote_id", "old_start"), quotes.located(q, new)).groupBy("status").agg(F.count("*").alias("n"))
+    return quotes.anchorings(q, quotes.located(q, new)).groupBy("status").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {PYTHON_LINES}, c AS (SELECT doc_id, (doc_id % 4 + 1)::INT AS a, (doc_id % 4 + 1 + doc_id % 3)::INT AS b FROM documents), n AS (SELECT doc_id, count(*) AS n FROM lines GROUP BY doc_id),

@@ -30,3 +30,16 @@ def odd(tmp_path_factory):
 @pytest.mark.parametrize("name", ["q_violations_all"])
 def test_null_and_empty_texts_are_cited(spark, odd, name):
     same_as_sql(spark, odd, name)
+
+
+@pytest.mark.parametrize("name", ["q_quote_places", "q_reanchor_histogram", "q_reanchor_nearest", "q_citation_exact"])
+def test_ids_of_quotes_recur_in_other_files(spark, odd, name):
+    same_as_sql(spark, odd, name)
+
+
+def test_a_null_range_text_or_quote_is_never_ok(spark):
+    from lodestrata.operators import quotes
+
+    files = spark.createDataFrame([("a", ["x"]), ("b", None)], "evidence_id string, lines array<string>")
+    cites = spark.createDataFrame([("a", 1, 1, "x"), ("a", 1, 1, None), ("a", None, 1, "x"), ("b", 1, 1, "x")], "evidence_id string, start int, end int, quote string")
+    assert sorted(r.verdict for r in quotes.checked(cites, files).collect()) == ["bad_range", "bad_range", "ok", "wrong_quote"]
