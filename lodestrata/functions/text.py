@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
+import sys
 import unicodedata
 
 import pandas as pd
@@ -42,7 +44,14 @@ def casefold(texts: pd.Series) -> pd.Series:
 
 def fold_text(t: str) -> str:
     """Case and accents away: casefold, compatibility decomposition, no combining marks."""
-    return "".join(c for c in unicodedata.normalize("NFKD", t.casefold()) if not unicodedata.combining(c))
+    if t.isascii():
+        return t.lower()
+    return _combining().sub("", unicodedata.normalize("NFKD", t.casefold()))
+
+
+@functools.cache
+def _combining() -> re.Pattern:
+    return re.compile(f"[{''.join(c for c in map(chr, range(0x300, sys.maxunicode + 1)) if unicodedata.combining(c))}]+")
 
 
 @F.pandas_udf(T.StringType())
