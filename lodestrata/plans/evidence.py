@@ -315,9 +315,8 @@ ASCII_TOKENS = f"{LINES}, w AS (SELECT doc_id, line_no, unnest(t) AS token, gene
 
 def _ascii_mentions(spark, sf_dir):
     """Matches by numbers of words, so that SQL without spans can follow."""
-    words = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")
-    lines = exploded(documents(spark, sf_dir)).select("doc_id", "line_no", F.transform(words, lambda w, i: F.struct(w.alias("token"), (i + 1).alias("start"), (i + 2).alias("end"))).alias("tokens"))
-    return mentions.mentions(lines, _aliases(spark), ["doc_id", "line_no"])
+    lines = exploded(documents(spark, sf_dir)).select("doc_id", "line_no", F.lower("text").alias("text"))
+    return mentions.mentions_in(lines, _aliases(spark), ["doc_id", "line_no"], words=mentions.ascii_words, fold=str)
 
 
 @query(f"WITH {ASCII_TOKENS} SELECT doc_id, alias, target, count(*) AS n FROM m GROUP BY ALL")
@@ -335,7 +334,7 @@ def q_alias_unicode(spark, sf_dir):
     """Accents and case folded, with spans of characters and ids; beyond SQL, tested by hand."""
     lines = exploded(documents(spark, sf_dir)).withColumn("evidence_id", F.col("doc_id").cast("string"))
     known = mentions.alias_keys(spark.createDataFrame([("Éle", "p1"), ("Ciónes de", "p2"), ("und", "p3")], "alias string, target string"))
-    found = mentions.mentions(mentions.line_tokens(lines), known, ["evidence_id", "line_no"])
+    found = mentions.mentions_in(lines, known, ["evidence_id", "line_no"])
     return mentions.identified(found, line="line_no")
 
 
