@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.operators.quotes import remapped
+from lodestrata.session import written
 
 
 def proposal(records: DataFrame, kept: DataFrame, events: DataFrame, relations: DataFrame, findings: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -28,6 +29,8 @@ def proposal(records: DataFrame, kept: DataFrame, events: DataFrame, relations:
         held = each.groupBy("record_id", "finding").agg(F.coalesce(F.bool_or("here"), F.lit(False)).alias("held"), F.count_if(F.col("citation_id").isNotNull() & F.col("here").isNull()).alias("gone"))
         per = held.groupBy("record_id").agg(F.bool_or("held").alias("any"), F.sum("gone").alias("f_gone"))
         left = left.join(per, "record_id", "left").where("any is null or any").withColumn("lost", F.col("lost") + F.coalesce("f_gone", F.lit(0))).drop("any", "f_gone")
+    left = written(left, "remapped")  # all that follows reads it
+    if findings is not None:
         findings = held.where("held").select("record_id", "finding").join(left.select("record_id"), "record_id", "left_semi")
     dropped = records.select("record_id").join(left, "record_id", "left_anti")
     stay = left.select("record_id", "old_to_new")

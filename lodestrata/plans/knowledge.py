@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lodestrata.functions import dates, identity, text
 from lodestrata.operators import context, coverage, delta, index, intervals, quotes, ranking, reanchor, referrals, report, rules, selection
 from lodestrata.plans.registry import SECOND, documents, query, second, table
+from lodestrata.session import written
 
 # ---- the index: parts are records of 25 projects and three runs
 
@@ -55,7 +56,8 @@ def _reanchored(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("x"))
     o = table(spark, sf_dir, "orders").select("o_orderkey").join(li, F.col("o_orderkey") == F.col("l_orderkey"))
     ordered = o.groupBy(F.col("o_orderkey").alias("record_id")).agg(F.array_sort(F.collect_list("x")).alias("xs"))  # of one order
-    ids = ordered.select("record_id", F.transform("xs", lambda x, i: F.struct(F.concat_ws(":", F.col("record_id").cast("string"), i.cast("string")).alias("id"), (x["l_quantity"] < 35).alias("here"))).alias("cs"))
+    ids = ordered.select("record_id", F.transform("xs", lambda x, i: F.struct((F.shiftleft("record_id", 20) + i).alias("id"), (x["l_quantity"] < 35).alias("here"))).alias("cs"))
+    ids = written(ids, "cited")  # read as records and as citations
     records = ids.select("record_id", F.col("cs.id").alias("citations"))
     kept = ids.select(F.explode("cs").alias("c")).where("c.here").select(F.col("c.id").alias("citation_id"))
     events = records.select("record_id", F.concat(F.lit("E"), F.col("record_id").cast("string")).alias("event_id"), F.array_distinct(F.array(F.lit(0), (F.col("record_id") % 2).cast("int"))).alias("refs"))
